@@ -1,0 +1,47 @@
+"""Named queries of the training-data operators, and SQL where SQL can express them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import packing, repetition, tokenize
+from millrace.session import table
+
+
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokenize.encode_corpus(table(spark, d, "documents"))
+
+
+def p8_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Documents whose decoded ids differ from their text: must be none."""
+    docs = table(spark, d, "documents")
+    decoded = tokenize.decode_corpus(tokenize.encode_corpus(docs)).select("doc_id", F.xxhash64("text").alias("h"), F.lit(1).alias("side"))
+    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.lit(-1).alias("side"))
+    return decoded.unionByName(texts).groupBy("doc_id", "h").agg(F.sum("side").alias("s")).agg(F.coalesce(F.sum(F.abs("s")), F.lit(0)).alias("unequal"))
+
+
+def p9_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_corpus(table(spark, d, "documents"))
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_report(packing.pack_corpus(table(spark, d, "documents")))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetition(table(spark, d, "documents")).filter("repetitive").select("doc_id").distinct()
+
+
+def p10_share(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.repetition(table(spark, d, "documents"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in (p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
