@@ -59,8 +59,13 @@ def encoder(tokenizer: Tokenizer):
     return tiktoken.Encoding("public", pat_str=tokenizer.pattern, mergeable_ranks=load_ranks(tokenizer.ranks_path), special_tokens={})
 
 
+def id_width(tokenizer: Tokenizer) -> str:
+    """Two bytes carry an id on its way back if the vocabulary allows it."""
+    return "<u2" if max(load_ranks(tokenizer.ranks_path).values(), default=0) < 1 << 16 else "<u4"
+
+
 BLOCK_SCHEMA = "block long, doc_id long, seq array<int>, slot int, word string"
-WORD_SCHEMA = "block long, slot int, ids array<int>"
+WORD_SCHEMA = "block long, slot int, ids binary"
 
 
 def _cut_blocks(tokenizer: Tokenizer, block_docs: int):
@@ -88,36 +93,42 @@ def _cut_blocks(tokenizer: Tokenizer, block_docs: int):
 
 def _encode_words(tokenizer: Tokenizer):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, known = encoder(tokenizer).encode_ordinary, {}
+        one, width = encoder(tokenizer).encode_ordinary, id_width(tokenizer)
+        known: dict[str, bytes] = {}
         for batch in batches:
             out = []
             for word in batch.column(2).to_pylist():
                 ids = known.get(word)
                 if ids is None:
-                    ids = known[word] = one(word)
+                    ids = known[word] = np.array(one(word), width).tobytes()
                 out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], ["block", "slot", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "slot", "ids"])
 
     return encode
 
 
-def _reassemble(docs: pa.Table, words: pa.Table) -> pa.Table:
-    words = words.sort_by("slot")
-    lists = words.column("ids").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    flat = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), dtype=np.int32)
-    sizes = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1] if len(sizes) else np.zeros(0, np.int64)
-    seqs = docs.column("seq").combine_chunks()
-    seqs = seqs.chunk(0) if isinstance(seqs, pa.ChunkedArray) else seqs
-    slots = np.asarray(seqs.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
-    lens = sizes[slots]
-    ends = np.cumsum(lens)
-    total = int(ends[-1]) if len(ends) else 0
-    values = flat[np.repeat(starts[slots] - (ends - lens), lens) + np.arange(total)] if total else np.zeros(0, np.int32)
-    doc_ends = np.cumsum(np.asarray(seqs.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))
-    offsets = np.concatenate([[0], np.concatenate([[0], ends])[doc_ends]]).astype(np.int32)
-    return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
+def _one_chunk(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+def _reassemble(tokenizer: Tokenizer):
+    def reassemble(docs: pa.Table, words: pa.Table) -> pa.Table:
+        packed = _one_chunk(words.sort_by("slot").column("ids")).to_pylist()
+        width = np.dtype(id_width(tokenizer))
+        flat = np.frombuffer(b"".join(packed), width).astype(np.int32)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // width.itemsize
+        starts = np.cumsum(sizes) - sizes
+        seqs = _one_chunk(docs.column("seq"))
+        slots = np.asarray(seqs.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
+        lens = sizes[slots]
+        ends = np.cumsum(lens)
+        total = int(ends[-1]) if len(ends) else 0
+        values = flat[np.repeat(starts[slots] - (ends - lens), lens) + np.arange(total)] if total else np.zeros(0, np.int32)
+        doc_ends = np.cumsum(np.asarray(seqs.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))
+        offsets = np.concatenate([[0], np.concatenate([[0], ends])[doc_ends]]).astype(np.int32)
+        return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
+
+    return reassemble
 
 
 def encode_corpus(documents: DataFrame, tokenizer: Tokenizer = Tokenizer(), id_col: str = "doc_id", text_col: str = "text", block_docs: int = 4000) -> DataFrame:
@@ -131,7 +142,7 @@ def encode_corpus(documents: DataFrame, tokenizer: Tokenizer = Tokenizer(), id_c
     )
     docs = cut.filter("slot IS NULL").select("block", "doc_id", "seq")
     words = cut.filter("slot IS NOT NULL").select("block", "slot", "word").repartition("word").mapInArrow(_encode_words(tokenizer), WORD_SCHEMA)
-    return docs.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_reassemble, "doc_id long, ids array<int>")
+    return docs.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_reassemble(tokenizer), "doc_id long, ids array<int>")
 
 
 def token_bytes(documents: DataFrame, tokenizer: Tokenizer = Tokenizer()) -> DataFrame:
