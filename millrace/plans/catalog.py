@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.plans import core_data
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p3_found": core_data.p3_found, "p6_found": core_data.p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
