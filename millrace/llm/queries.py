@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, repetition, tokenize
+from millrace.llm import garbled, packing, places, repetition, tokenize
 from millrace.session import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return places.map_places(table(spark, d, "jobs"), table(spark, d, "regions"))
+
+
+def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    return places.unmatched_report(table(spark, d, "jobs"), table(spark, d, "regions"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.garbled_fields(table(spark, d, "jobs"), "rec_id", ("title", "description")).select("rec_id", "field_name")
+
+
+def p7_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.garbled_fields(table(spark, d, "jobs"), "rec_id", ("title", "description"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, d, "documents"))
 
@@ -40,7 +56,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
