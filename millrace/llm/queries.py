@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import garbled, packing, places, repetition, tokenize
+from millrace.llm import garbled, near_duplicates, packing, places, repetition, tokenize, truncation
 from millrace.session import table
 
 
@@ -19,6 +19,28 @@ def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return places.unmatched_report(table(spark, d, "jobs"), table(spark, d, "regions"))
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    jobs = table(spark, d, "jobs").select(F.lit("jobs").alias("table_name"), F.col("rec_id").alias("row_key"), F.col("source_id").alias("grp"), F.col("description").alias("text"))
+    hits = table(spark, d, "discovery_hits").select(F.lit("discovery_hits").alias("table_name"), F.col("hit_id").alias("row_key"), F.col("provider").alias("grp"), F.col("snippet").alias("text"))
+    return jobs.unionByName(hits)
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.find_truncated(_texts(spark, d)).filter("cut").select("table_name", "row_key").distinct()
+
+
+def p4_shares(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncation_shares(truncation.find_truncated(_texts(spark, d)))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.near_duplicate_pairs(table(spark, d, "jobs"))
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.near_duplicate_groups(table(spark, d, "jobs"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return garbled.garbled_fields(table(spark, d, "jobs"), "rec_id", ("title", "description")).select("rec_id", "field_name")
 
@@ -56,7 +78,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
