@@ -44,6 +44,9 @@ _TAGS = re.compile(r"<[^<>]*>")
 _CUTS = re.compile(r"[.。;；,，、!！?？\n\r:：•–—…\"“”«»()（）\[\]【】]+")
 _OTHER = re.compile(r"[\W\d_]+")
 _CJK = "぀-ヿ㐀-鿿"
+_ANY_CJK = re.compile(f"[{_CJK}]")
+#: Shorter clauses (headings, fragments) say nothing about a text.
+LETTERS_CJK, LETTERS = 5, 12
 _WORDS = re.compile(rf"[{_CJK}]+|[^{_CJK}\s]+")
 
 
@@ -53,7 +56,7 @@ def clauses(description: str) -> set[int]:
     out = set()
     for part in _CUTS.split(text):
         part = _OTHER.sub("", part)
-        if len(part) >= 4:
+        if len(part) >= (LETTERS_CJK if _ANY_CJK.search(part) else LETTERS):
             out.add(xxhash.xxh64_intdigest(part) - (1 << 63))
     if not out and (part := _OTHER.sub("", text)):
         out.add(xxhash.xxh64_intdigest(part) - (1 << 63))
