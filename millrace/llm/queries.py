@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import garbled, near_duplicates, packing, places, repetition, tokenize, truncation
+from millrace.llm import garbled, names, near_duplicates, packing, places, repetition, tokenize, truncation
 from millrace.session import table
 
 
@@ -19,6 +19,18 @@ def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return places.unmatched_report(table(spark, d, "jobs"), table(spark, d, "regions"))
 
 
+def _names(spark: SparkSession, d: str) -> list[DataFrame]:
+    return [table(spark, d, t) for t in ("jobs", "sources", "employer_targets", "regions")]
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.name_pairs(*_names(spark, d))
+
+
+def p2_classes(spark: SparkSession, d: str) -> DataFrame:
+    return names.name_classes(*_names(spark, d))
+
+
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     jobs = table(spark, d, "jobs").select(F.lit("jobs").alias("table_name"), F.col("rec_id").alias("row_key"), F.col("source_id").alias("grp"), F.col("description").alias("text"))
     hits = table(spark, d, "discovery_hits").select(F.lit("discovery_hits").alias("table_name"), F.col("hit_id").alias("row_key"), F.col("provider").alias("grp"), F.col("snippet").alias("text"))
@@ -78,7 +90,7 @@ def p10_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_classes, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
 
 
 def oracle_sql() -> dict[str, str]:
