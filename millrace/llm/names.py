@@ -260,7 +260,7 @@ def name_classes(jobs: DataFrame, sources: DataFrame, targets: DataFrame, region
                         rows.append((text, n, listed, key, full, p.place, "w" if len(readings) > 1 else kind, form))
             yield pd.DataFrame(rows, columns=schema.names)
 
-    rewritten = materialize(names.repartition(F.xxhash64("text")).mapInPandas(rewrite, schema))
+    rewritten = materialize(names.repartition(int(jobs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text").mapInPandas(rewrite, schema))
     texts = rewritten.select("text", "n", "listed", "key", "full", "place").distinct()
     classes = materialize(texts.groupBy("key").agg(F.sum("n").alias("n"), F.max("full").alias("full"), F.collect_set(F.when(F.col("place") != "", F.col("place"))).alias("places")))
     per_form = materialize(rewritten.select("kind", "form", "key").distinct().join(classes, "key"))

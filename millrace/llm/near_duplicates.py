@@ -9,10 +9,10 @@ each record goes to the lists of its ``n - T + 1`` rarest clauses only, and in
 each list DivideSkip answers the T-occurrence queries: the long inverted lists
 are put aside, the short ones heap-merged, and their candidates looked up in
 the long ones by binary search.  A pair is reported in the list of its rarest
-common clause alone, and then checked on the wording of title, company and
-description.
+common clause alone; unless most clauses agree word for word, it is checked on
+the wording of title, company and description.
 
-Records with equal clause sets are searched once, by a representative.  A list
+Records with equal clause sets are searched once.  A list
 longer than ``BLOCK`` is spread over pairs of blocks, so no clause, however
 frequent, makes an unbounded task.  Null or blank descriptions take no part;
 repeated rows of one id count once.
@@ -38,6 +38,8 @@ from millrace.session import materialize
 
 #: Share of the larger clause set that a pair has in common at least, and the agreement in wording (Jaccard over words and character pairs) that makes it a near-duplicate.
 SHARED, AGREEMENT = 0.4, 0.62
+#: With this share of at least SURE_CLAUSES clauses in common word for word, the wording needs no further look.
+SURE, SURE_CLAUSES = 0.6, 4
 BLOCK = 2000
 
 _TAGS = re.compile(r"<[^<>]*>")
@@ -122,8 +124,8 @@ def _least(n: int) -> int:
     return max(1, -(-n * int(SHARED * 100) // 100))
 
 
-def search_list(token: int, members: list[tuple[int, int, tuple[int, ...], int]], left: int, right: int) -> Iterator[tuple[int, int]]:
-    """Pairs of one list: ``members`` are key, n, clauses from rare to frequent, block.
+def search_list(token: int, members: list[tuple[int, int, tuple[int, ...], int]], left: int, right: int) -> Iterator[tuple[int, int, bool]]:
+    """Pairs of one list, and whether they are sure: ``members`` are key, n, clauses from rare to frequent, block.
 
     Only pairs between block ``left`` and block ``right``.
     """
@@ -136,7 +138,7 @@ def search_list(token: int, members: list[tuple[int, int, tuple[int, ...], int]]
     for i, (key, n, tokens, block) in enumerate(members):
         if block != left:
             continue
-        for j in divide_skip(list(tokens), lists, _least(n)):
+        for j, common in divide_skip(list(tokens), lists, _least(n)).items():
             other, m, theirs, _ = members[j]
             # Within a block both ends ask; the one with more clauses, or else the first, reports.
             if other == key or (left == right and (m > n or (m == n and j <= i))):
@@ -145,14 +147,15 @@ def search_list(token: int, members: list[tuple[int, int, tuple[int, ...], int]]
                 continue
             have = set(theirs)
             if next(t for t in tokens if t in have) == token:
-                yield (key, other) if key < other else (other, key)
+                most = max(n, m)
+                yield min(key, other), max(key, other), most >= SURE_CLAUSES and common >= SURE * most
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lists arrive together, as the rows are sorted; one is held at a time."""
 
-    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], ["a", "b"])
+    def out(pairs: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64()), pa.array([x[2] for x in pairs], pa.bool_())], ["a", "b", "sure"])
 
     current, members, pairs = None, [], []
     for batch in batches:
@@ -177,16 +180,15 @@ def _clause_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicate_links(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links between representatives (``a, b``), and ``k, rep`` of every record.
+    """Links between clause sets (``a, b``), and ``k, rep``: the clause set of every record.
 
-    Keys are 64-bit hashes of the ids.
+    ``k`` are 64-bit hashes of the ids, ``rep`` of the clause sets.
     """
     described = jobs.filter(F.col("id").isNotNull() & F.col("description").rlike(r"[^\s　]"))
     cut = described.select(F.xxhash64("id").alias("k"), "description").mapInArrow(_clause_rows, "k long, toks array<long>").filter(F.size("toks") > 0)
-    records = materialize(cut.groupBy("k").agg(F.min("toks").alias("toks")).withColumn("sig", F.xxhash64("toks")))
-    reps = records.groupBy("sig").agg(F.min("k").alias("rep"))
-    member = materialize(records.join(reps, "sig").select("k", "rep", "toks"))
-    heads = member.filter("k = rep").select("k", "toks")
+    rows = materialize(cut.withColumn("rep", F.xxhash64("toks")))
+    member = materialize(rows.groupBy("k").agg(F.min("rep").alias("rep")))
+    heads = materialize(rows.groupBy(F.col("rep").alias("k")).agg(F.min("toks").alias("toks")))
     postings = heads.select("k", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
     frequent = heads.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
     # Clauses that no other record has are only counted (n); they can't be common.
@@ -198,20 +200,21 @@ def near_duplicate_links(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = F.pmod(F.xxhash64("k"), blocks).cast("int")
     spread = routed.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     lists = spread.select(F.col("p.tok").alias("tok"), F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "k", "n", "toks", "block")
-    found = lists.repartition("tok", "left", "right").sortWithinPartitions("tok", "left", "right").mapInArrow(_search, "a long, b long")
+    found = lists.repartition("tok", "left", "right").sortWithinPartitions("tok", "left", "right").mapInArrow(_search, "a long, b long, sure boolean")
     candidates = materialize(found.distinct())
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("k")).distinct()
-    texts = materialize(described.select(F.xxhash64("id").alias("k"), "title", "company", "description").join(wanted, "k").dropDuplicates(["k"]))
+    unsure = candidates.filter("NOT sure").select("a", "b")
+    wanted = unsure.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    asked = member.join(wanted, "rep").groupBy("rep").agg(F.min("k").alias("k"))
+    texts = materialize(described.select(F.xxhash64("id").alias("k"), "title", "company", "description").join(asked, "k").dropDuplicates(["rep"]).drop("k"))
 
     @F.pandas_udf("boolean")
     def agree(t1: pd.Series, c1: pd.Series, d1: pd.Series, t2: pd.Series, c2: pd.Series, d2: pd.Series) -> pd.Series:
         return pd.Series([agreement(wording(*x), wording(*y)) >= AGREEMENT for x, y in zip(zip(t1, c1, d1), zip(t2, c2, d2))])
 
-    one = texts.select(F.col("k").alias("a"), F.struct("title", "company", "description").alias("x"))
-    two = texts.select(F.col("k").alias("b"), F.struct("title", "company", "description").alias("y"))
-    joined = candidates.join(one, "a").join(two, "b")
-    links = joined.filter(agree("x.title", "x.company", "x.description", "y.title", "y.company", "y.description")).select("a", "b")
-    return materialize(links), member.select("k", "rep")
+    one = texts.select(F.col("rep").alias("a"), F.struct("title", "company", "description").alias("x"))
+    two = texts.select(F.col("rep").alias("b"), F.struct("title", "company", "description").alias("y"))
+    checked = unsure.join(one, "a").join(two, "b").filter(agree("x.title", "x.company", "x.description", "y.title", "y.company", "y.description")).select("a", "b")
+    return materialize(candidates.filter("sure").select("a", "b").unionByName(checked)), member
 
 
 def _ids(jobs: DataFrame) -> DataFrame:
