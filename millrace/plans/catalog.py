@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import core_data
+from millrace.plans import core_data, registry
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p3_found": core_data.p3_found, "p6_found": core_data.p6_found}
+    return registry.queries() | {"p3_found": core_data.p3_found, "p6_found": core_data.p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return registry.oracle_sql()
