@@ -91,7 +91,7 @@ def divide_skip(query: list[int], lists: dict[int, list[int]], least: int, long_
     ``lists`` holds sorted positions.  The ``long_lists`` longest are only
     probed; at most ``least - 1`` may be, or a result could be missed.
     """
-    found = sorted((lists[t] for t in query if t in lists), key=len, reverse=True)
+    found = sorted((lists[t] for t in query if lists.get(t)), key=len, reverse=True)
     if len(found) < least:
         return {}
     if long_lists is None:
