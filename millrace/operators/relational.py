@@ -67,3 +67,45 @@ def missing_advance(obs: DataFrame, authoritative: Column) -> DataFrame:
 def page(df: DataFrame, limit: int, cursor: int, *order: Column) -> DataFrame:
     """One page in a total order."""
     return df.orderBy(*order).offset(cursor).limit(limit)
+
+
+def asof_latest(left: DataFrame, right: DataFrame, key: str, at_left: str, at_right: str, out: str) -> DataFrame:
+    """Adds to ``left`` the latest ``at_right`` of the same key not after ``at_left``, else null.
+
+    Time is cut into months, so that a key with very many rows is spread over
+    many window groups; what the earlier months end with is carried in from a
+    table of one row per key and month.
+    """
+    month = lambda c: F.date_trunc("month", c)
+    seen = right.select(F.col(key).alias("_k"), F.col(at_right).alias("_at")).filter("_k IS NOT NULL AND _at IS NOT NULL").distinct()
+    per_month = seen.groupBy("_k", month("_at").alias("_m")).agg(F.max("_at").alias("_last"))
+    asked = left.withColumn("_k", F.col(key)).withColumn("_at", F.col(at_left)).withColumn("_m", month(F.col(at_left)))
+    months = per_month.unionByName(asked.select("_k", "_m").distinct().withColumn("_last", F.lit(None).cast("timestamp"))).groupBy("_k", "_m").agg(F.max("_last").alias("_last"))
+    before = W.partitionBy("_k").orderBy("_m").rowsBetween(W.unboundedPreceding, -1)
+    carried = months.select("_k", "_m", F.max("_last").over(before).alias("_carry"))
+    both = asked.withColumn("_seen", F.lit(None).cast("timestamp")).withColumn("_q", F.lit(1)).unionByName(
+        seen.select("_k", "_at", month("_at").alias("_m"), F.col("_at").alias("_seen"), F.lit(0).alias("_q")), allowMissingColumns=True
+    )
+    within = F.max("_seen").over(W.partitionBy("_k", "_m").orderBy("_at", "_q").rowsBetween(W.unboundedPreceding, W.currentRow))
+    got = both.withColumn("_w", within).filter("_q = 1").join(carried, ["_k", "_m"], "left")
+    return got.withColumn(out, F.coalesce("_w", "_carry")).select(*left.columns, out)
+
+
+def commit_merge(existing: DataFrame, incoming: DataFrame, key: str, content: str, authoritative: bool) -> DataFrame:
+    """One pass of a source against the stored rows: ``key, action, version, missing``.
+
+    ``existing`` has ``key, content, version, missing, status``; ``incoming``
+    ``key, content``, one row per key.  New keys are inserted at version 1,
+    changed content adds one, equal content changes nothing; a stored, not
+    closed key that the pass doesn't list is missing once more if the pass was
+    authoritative and is only marked for review otherwise.
+    """
+    stored = existing.select(F.col(key), F.col(content).alias("_old"), F.col("version").alias("_v"), F.col("missing").alias("_m"), F.col("status").alias("_s"), F.lit(True).alias("_has"))
+    listed = incoming.select(F.col(key), F.col(content).alias("_new"), F.lit(True).alias("_in"))
+    both = stored.join(listed, key, "full")
+    inserted, present = F.col("_has").isNull(), F.col("_in").isNotNull()
+    same = F.col("_old").eqNullSafe(F.col("_new"))
+    action = F.when(inserted, "insert").when(present & same, "unchanged").when(present, "update").when(F.col("_s") == "closed", "closed").otherwise("missing" if authoritative else "review")
+    version = F.when(inserted, F.lit(1)).when(present & ~same, F.col("_v") + 1).otherwise(F.col("_v")).cast("long")
+    missing = F.when(present, F.lit(0)).when(F.col("_s") == "closed", F.col("_m")).otherwise(F.col("_m") + 1 if authoritative else F.greatest(F.col("_m"), F.lit(1))).cast("long")
+    return both.select(key, action.alias("action"), version.alias("version"), missing.alias("missing"))

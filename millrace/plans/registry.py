@@ -275,6 +275,56 @@ def stable_ids(spark, d):
     return table(spark, d, "jobs").select("rec_id", X.stable_id(F.col("source_id"), F.coalesce("external_id", "apply_url")).alias("stable_id"))
 
 
+@query(f"""WITH g AS (SELECT apply_url, {_NORMAL.format('company')} AS c, {_NORMAL.format('title')} AS t, rec_id, authenticity_score FROM jobs WHERE apply_url IS NOT NULL)
+  SELECT rec_id AS kept, n AS merged FROM (SELECT rec_id, count(*) OVER p AS n, row_number() OVER (PARTITION BY apply_url, c, t ORDER BY authenticity_score DESC, rec_id) AS rn FROM g WINDOW p AS (PARTITION BY apply_url, c, t)) WHERE rn = 1""")
+def exact_merge(spark, d):
+    """One row per application URL, company and title: the most authentic record, the first at a tie."""
+    keys = ["apply_url", X.normal_text(F.col("company")).alias("c"), X.normal_text(F.col("title")).alias("t")]
+    best = F.max_by("rec_id", F.struct("authenticity_score", -F.col("rec_id")))
+    return table(spark, d, "jobs").filter("apply_url IS NOT NULL").groupBy(*keys).agg(best.alias("kept"), F.count("*").alias("merged")).select("kept", "merged")
+
+
+@query("SELECT rec_id, id FROM jobs QUALIFY row_number() OVER (PARTITION BY id ORDER BY observed_at DESC, rec_id DESC) <= 2")
+def retained_versions(spark, d):
+    """The two newest records of each posting."""
+    w = W.partitionBy("id").orderBy(F.desc("observed_at"), F.desc("rec_id"))
+    return table(spark, d, "jobs").select("rec_id", "id", "observed_at").withColumn("n", F.row_number().over(w)).filter("n <= 2").select("rec_id", "id")
+
+
+@query("SELECT e.kind AS kind, count(*) AS items, count(DISTINCT rec_id) AS records FROM (SELECT rec_id, unnest(evidence) AS e FROM jobs) GROUP BY 1")
+def evidence_histogram(spark, d):
+    return table(spark, d, "jobs").select("rec_id", F.explode("evidence").alias("e")).groupBy("e.kind").agg(F.count("*").alias("items"), F.countDistinct("rec_id").alias("records"))
+
+
+@query("SELECT source_id, count(*) AS rows_late, max((epoch_us(ingested_at) - epoch_us(observed_at)) // 86400000000) AS worst_days FROM jobs WHERE epoch_us(ingested_at) - epoch_us(observed_at) >= 86400000000 GROUP BY 1")
+def late_arrivals(spark, d):
+    lag = F.unix_micros("ingested_at") - F.unix_micros("observed_at")
+    return table(spark, d, "jobs").select("source_id", lag.alias("lag")).filter("lag >= 86400000000").groupBy("source_id").agg(F.count("*").alias("rows_late"), F.floor(F.max("lag") / 86_400_000_000).alias("worst_days"))
+
+
+@query("SELECT h.hit_id, epoch_us(j.observed_at) AS last_seen_us FROM (SELECT * FROM discovery_hits WHERE source_id IS NOT NULL) h ASOF LEFT JOIN (SELECT DISTINCT source_id, observed_at FROM jobs) j ON h.source_id = j.source_id AND h.discovered_at >= j.observed_at")
+def asof_observation(spark, d):
+    """When the source of a hit was last observed before the hit."""
+    hits = table(spark, d, "discovery_hits").filter("source_id IS NOT NULL").select("hit_id", "source_id", "discovered_at")
+    got = R.asof_latest(hits, table(spark, d, "jobs"), "source_id", "discovered_at", "observed_at", "last_seen")
+    return got.select("hit_id", F.unix_micros("last_seen").alias("last_seen_us"))
+
+
+_SPLIT = "2026-06-01 00:00:00"
+_SIDE = "(SELECT id, max_by(content_hash, rec_id) AS content_hash, max_by(status, rec_id) AS status, count(*) AS version FROM jobs WHERE epoch_us(observed_at) {0} epoch_us(TIMESTAMP '" + _SPLIT + "') GROUP BY id)"
+
+
+@query(f"""SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'insert' WHEN b.id IS NOT NULL AND a.content_hash IS NOT DISTINCT FROM b.content_hash THEN 'unchanged' WHEN b.id IS NOT NULL THEN 'update' WHEN a.status = 'closed' THEN 'closed' ELSE 'missing' END AS action,
+  CASE WHEN a.id IS NULL THEN 1 WHEN b.id IS NOT NULL AND a.content_hash IS DISTINCT FROM b.content_hash THEN a.version + 1 ELSE a.version END AS version,
+  CASE WHEN b.id IS NOT NULL THEN 0 WHEN a.status = 'closed' THEN 0 ELSE 1 END AS missing FROM {_SIDE.format('<')} a FULL JOIN {_SIDE.format('>=')} b ON a.id = b.id""")
+def commit_actions(spark, d):
+    """What a pass with the later observations does to the snapshot of the earlier ones."""
+    jobs = table(spark, d, "jobs").select("id", "content_hash", "status", "rec_id", F.unix_micros("observed_at").alias("us"))
+    cut = 1780272000000000
+    side = lambda rows: rows.groupBy("id").agg(F.max_by("content_hash", "rec_id").alias("content_hash"), F.max_by("status", "rec_id").alias("status"), F.count("*").alias("version"), F.lit(0).cast("long").alias("missing"))
+    return R.commit_merge(side(jobs.filter(F.col("us") < cut)), side(jobs.filter(F.col("us") >= cut)).select("id", "content_hash"), "id", "content_hash", True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
