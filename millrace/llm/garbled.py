@@ -5,6 +5,7 @@ codec and decode it with another or undo an escape, a plausibility cost of the
 characters guides the search to the cheapest reachable text, and visited
 states are kept by hash.  The search runs on the stretches of a text that look
 foreign, so a single garbled passage in a sound text is found and restored.
+Latin words with East Asian letters in them are searched word by word.
 
 A stretch is garbled if a path with at least one codec move makes it much
 cheaper; replacement characters and their re-decoded remains are garbled
@@ -14,6 +15,7 @@ are.  Texts are judged whole, whatever their length.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import heapq
 import html
@@ -121,9 +123,6 @@ def _decode(data: bytes, codec: str) -> str | None:
     return None
 
 
-_RARE_LATIN = re.compile("[À-ɏͰ-ӿ]")
-
-
 def moves(text: str) -> Iterator[tuple[str, bool]]:
     """Texts one move away; whether the move changes the codec."""
     for codec in (*SINGLE, *MULTI):
@@ -193,6 +192,112 @@ def _rare_han() -> re.Pattern:
     return re.compile(f"[{''.join(out)}]")
 
 
+_CJK = "ᄀ-ᇿ⺀-⿿々-〇〡-鿿가-힣-﫿ｦ-ﾟ"
+_MIXED = re.compile(f"[A-Za-z][{_CJK}]|[{_CJK}][A-Za-z]")
+_EAST = re.compile(f"[{_CJK}]")
+#: Words of a Latin text: blanks and the ASCII signs that no multi-byte codec takes for a second byte end them.
+_WORD = re.compile(r"[^\x00-&(-,./:-?]+")
+_ACCENTED = re.compile("[À-ÖØ-öø-þĀ-ɏḀ-ỿ]")
+_CLAUSE_END = re.compile("[\n。！？；<>]")
+#: What an East Asian letter costs for each Latin letter and each blank or sign beside it, and the least gain that tells.
+MIX, ALONE, TELLING = 3.0, 1.5, 3.0
+
+
+def _utf8(text: str, codec: str) -> str | None:
+    data = _encode(text, codec)
+    try:
+        return data.decode("utf-8") if data else None
+    except UnicodeDecodeError:
+        return None
+
+
+def _latin(text: str) -> bool:
+    return not (re.search("[Ͱ-᷿]", text) or _EAST.search(text) or any(cost(c) > 3 for c in text))
+
+
+def _latin_gain(word: str, got: str) -> tuple[float, bool, bool] | None:
+    """How much cheaper ``word`` gets as the Latin text ``got``, and whether an accented letter stands in a word or at its end; None if it isn't Latin."""
+    if not _latin(got):
+        return None
+    gain, inside, edge = cost(word) - cost(got), False, False
+    for m in _ACCENTED.finditer(got):
+        i = m.start()
+        sides = [got[i - 1 : i] if i else "", got[i + 1 : i + 2]]
+        letters = [c for c in sides if c.isalpha()]
+        before, after = sides
+        if letters and (before.isalpha() and not before.isupper() if m[0].isupper() else after.isupper() or not any(c.islower() for c in letters)):
+            return None
+        if letters:
+            gain += sum(MIX if c.isalpha() else ALONE for c in sides)
+        inside |= len(letters) == 2
+        edge |= len(letters) == 1 and bool(re.search("[A-Za-z]{2}$", got[:i]) or re.match("[A-Za-z]{2}", got[i + 1 :]))
+    return gain, inside, edge
+
+
+def _latin_words(text: str, codec: str) -> Iterator[tuple[int, int, str | None, bool]]:
+    """``begin, end, decoded, beside``: words with foreign letters, in pieces if they don't decode as a whole; whether sound text touches them."""
+    for m in _WORD.finditer(text):
+        word = m.group()
+        if word.isascii():
+            continue
+        if (got := _utf8(word, codec)) and _latin(got):
+            yield m.start(), m.end(), got, False
+            continue
+        i = 0
+        ok = [c.isascii() or ((x := _utf8(c, codec)) is not None and _latin(x)) for c in word]
+        while i < len(word):
+            j = i
+            while j < len(word) and ok[j] == ok[i]:
+                j += 1
+            if not ok[i] or not word[i:j].isascii():
+                beside = bool(i and _EAST.match(word[i - 1])) or bool(j < len(word) and _EAST.match(word[j]))
+                yield m.start() + i, m.start() + j, _utf8(word[i:j], codec) if ok[i] else None, beside
+            i = j
+
+
+def fix_latin(text: str) -> tuple[str, bool]:
+    """Latin text in UTF-8 that was read in a multi-byte codec ('f眉r' for 'für'), restored passage by passage.
+
+    A passage is a longest sequence of words that are ASCII or decode.  It is
+    judged by its cost, where a letter of another script costs the more the
+    closer it stands to Latin ones; a letter at the end of a word tells only
+    if its clause holds no letter that doesn't decode, and
+    a word that touches sound East Asian text only together with another.
+    """
+    best, best_gain = text, 0.0
+    ends = [m.start() for m in _CLAUSE_END.finditer(text)]
+    for codec in MULTI:
+        passages: list[list[tuple[int, int, str, float, bool, bool, bool]]] = [[]]
+        sound: list[int] = []
+        for begin, end, got, beside in _latin_words(text, codec):
+            judged = _latin_gain(text[begin:end], got) if got else None
+            if judged:
+                gain, inside, edge = judged
+                passages[-1].append((begin, end, got, gain, inside, edge, beside))
+            else:
+                passages.append([])
+                if any(cost(c) <= 4 for c in _EAST.findall(text, begin, end)):
+                    sound.append(begin)
+        out, at, total = [], 0, 0.0
+        for passage in passages:
+            several = sum(inside for *_, inside, _, _ in passage) > 1
+            for begin, end, _, gain, inside, edge, beside in passage:
+                if gain < TELLING or not (inside or edge) or (beside and not several):
+                    continue
+                clause = bisect.bisect(ends, begin)
+                k = bisect.bisect(sound, ends[clause - 1]) if clause else 0
+                if inside or k == len(sound) or (clause < len(ends) and sound[k] > ends[clause]):
+                    break
+            else:
+                continue
+            for begin, end, got, gain, *_ in passage:
+                out += [text[at:begin], got]
+                at, total = end, total + gain
+        if total > best_gain:
+            best, best_gain = "".join(out) + text[at:], total
+    return best, best_gain > 0
+
+
 def examine(text: str | None) -> tuple[bool, str | None]:
     """Whether ``text`` holds a garbled stretch, and the text restored as far as it can be."""
     if not text or text.isascii():
@@ -206,6 +311,9 @@ def examine(text: str | None) -> tuple[bool, str | None]:
         return got
 
     out = _STRETCH.sub(fix, text) if _STRETCH.search(text) else text
+    if _MIXED.search(out):
+        out, changed = fix_latin(out)
+        garbled |= changed
     if len(_rare_han().findall(out)) >= 1:
 
         def fix_han(m: re.Match) -> str:
@@ -215,12 +323,13 @@ def examine(text: str | None) -> tuple[bool, str | None]:
             if not rare or rare < 0.1 * len(run):
                 return run
             got, changed = search(run)
-            if changed and not _RARE_LATIN.search(got):
-                garbled = True
-                return got
-            return run
+            garbled |= changed
+            return got
 
-        out = _HAN_STRETCH.sub(fix_han, out)
+        before, out = out, _HAN_STRETCH.sub(fix_han, out)
+        if out != before and _MIXED.search(out):
+            out, changed = fix_latin(out)
+            garbled |= changed
     return garbled, out
 
 

@@ -43,6 +43,21 @@ def test_garbled_texts():
         assert garbled.examine(text) == (False, text)
 
 
+def test_garbled_latin_words():
+    texts = ["Fachkraft für Zähler 82", "ESTÁGIO EM PRODUÇÃO", "Außerdem übersetzen Sie 3 Pläne.", "Com área jurídica, construir irrigação", "Café manager", "à noite é boa manhã"]
+    for text in texts:
+        for codec in ("gbk", "big5", "cp932", "euc_jp", "euc_kr"):
+            try:
+                read = text.encode().decode(codec)
+            except UnicodeDecodeError:
+                continue
+            assert garbled.examine(read) == (True, text), (codec, read)
+    assert garbled.examine("熟悉标准。" + "Für Zähler".encode().decode("gbk")) == (True, "熟悉标准。Für Zähler")
+    assert garbled.examine("熟悉标准" + "Für 3 Verträge".encode().decode("gbk") + "好") == (True, "熟悉标准Für 3 Verträge好")
+    for text in ["负责b端c端产品", "A级 Vue组件 B端", "DNA酶 manager", "熟悉 app没 bug", "Java没C", "A股 T恤 K歌", "每week 3 days", "Nanjing路 office", "b端/c端 manager"]:
+        assert garbled.examine(text) == (False, text)
+
+
 def test_garbled_fields(spark):
     rows = [(1, "采购经理".encode().decode("latin-1"), "fine", "x"), (2, None, "", "x"), (3, "ok", "两段。" + "能持续出差".encode().decode("latin-1") + "。好", None), (3, "ok", "x", "x")]
     df = spark.createDataFrame(rows, "rec_id long, title string, description string, field_name string")
