@@ -16,6 +16,7 @@ are.  Texts are judged whole, whatever their length.
 from __future__ import annotations
 
 import bisect
+import codecs
 import functools
 import heapq
 import html
@@ -78,6 +79,11 @@ def _costs() -> np.ndarray:
     return out
 
 
+@functools.lru_cache(maxsize=0x10000)
+def _cost_of(char: str) -> float:
+    return float(_costs()[min(ord(char), 0xFFFF)])
+
+
 def cost(text: str) -> float:
     cps = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     return float(_costs()[np.minimum(cps, 0xFFFF)].sum())
@@ -298,6 +304,68 @@ def fix_latin(text: str) -> tuple[str, bool]:
     return best, best_gain > 0
 
 
+def _chains(encoded: list[bytes | None], costs: list[float], target: str) -> Iterator[tuple[int, int]]:
+    """Longest stretches of a run of characters that ``target`` decodes, without the ends that decoding makes dearer."""
+    begin = 0
+    while begin < len(encoded):
+        if encoded[begin] is None or (target == "utf-8" and not 0xC2 <= encoded[begin][0] <= 0xF4):
+            begin += 1
+            continue
+        # Links end where a character of both codecs does.
+        links: list[tuple[int, int, float]] = []
+        at, since = begin, begin
+        decoder = codecs.getincrementaldecoder(target)()
+        out = ""
+        while at < len(encoded) and encoded[at] is not None:
+            try:
+                out += decoder.decode(encoded[at])
+            except UnicodeDecodeError:
+                break
+            at += 1
+            if not decoder.getstate()[0]:
+                links.append((since, at, sum(costs[since:at]) - sum(_cost_of(c) for c in out)))
+                since, out = at, ""
+        reached = since
+        while links and links[0][2] <= 0:
+            links.pop(0)
+        while links and links[-1][2] <= 0:
+            links.pop()
+        if links:
+            yield links[0][0], links[-1][1]
+        begin = max(reached, begin + 1)
+
+
+def fix_run(run: str) -> tuple[str, bool]:
+    """A run of foreign characters restored as a whole, or in the passages of it that decode."""
+    if not _rare_han().search(run):
+        return run, False
+    whole, changed = search(run)
+    found: list[tuple[float, int, int, str]] = []
+    costs = [_cost_of(c) for c in run]
+    for codec in MULTI:
+        encoded = [_encode(c, codec) for c in run]
+        for target in WRITTEN:
+            if target == codec:
+                continue
+            for begin, end in _chains(encoded, costs, target):
+                part = run[begin:end]
+                if len(part) < (3 if target == "utf-8" else 6) or part == run or not _rare_han().search(part):
+                    continue
+                got, better = search(part)
+                if better:
+                    found.append((cost(got) - cost(part), begin, end, got))
+    taken: list[tuple[int, int, str]] = []
+    for _, begin, end, got in sorted(found):
+        if all(end <= b or begin >= e for b, e, _ in taken):
+            taken.append((begin, end, got))
+    out, at = [], 0
+    for begin, end, got in sorted(taken):
+        out += [run[at:begin], got]
+        at = end
+    parts = "".join(out) + run[at:]
+    return (parts, True) if taken and (not changed or cost(parts) < cost(whole)) else (whole, changed)
+
+
 def examine(text: str | None) -> tuple[bool, str | None]:
     """Whether ``text`` holds a garbled stretch, and the text restored as far as it can be."""
     if not text or text.isascii():
@@ -318,11 +386,7 @@ def examine(text: str | None) -> tuple[bool, str | None]:
 
         def fix_han(m: re.Match) -> str:
             nonlocal garbled
-            run = m.group()
-            rare = len(_rare_han().findall(run))
-            if not rare or rare < 0.1 * len(run):
-                return run
-            got, changed = search(run)
+            got, changed = fix_run(m.group())
             garbled |= changed
             return got
 

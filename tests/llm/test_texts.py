@@ -58,6 +58,16 @@ def test_garbled_latin_words():
         assert garbled.examine(text) == (False, text)
 
 
+def test_garbled_passage_touches_sound_text():
+    sound, texts = "与法务一起优化支付预算，", ["每周跟进绿色纺纱产线，并", "绿色纺纱"]
+    for text, codecs in zip(texts, (("gbk",), ("gbk", "cp932"))):
+        for codec in codecs:
+            read = text.encode().decode(codec)
+            for before, after in [("", "监控检索模型。"), ("两段", ""), (sound * 9, sound), ("", "小山")]:
+                assert garbled.examine(before + read + after) == (True, before + text + after), (codec, before, after)
+    assert garbled.examine(sound * 9 + "岚渡崖鹭谷湾，") == (False, sound * 9 + "岚渡崖鹭谷湾，")
+
+
 def test_garbled_fields(spark):
     rows = [(1, "采购经理".encode().decode("latin-1"), "fine", "x"), (2, None, "", "x"), (3, "ok", "两段。" + "能持续出差".encode().decode("latin-1") + "。好", None), (3, "ok", "x", "x")]
     df = spark.createDataFrame(rows, "rec_id long, title string, description string, field_name string")
