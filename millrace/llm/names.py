@@ -152,7 +152,7 @@ def parse(text: str, lex: Lexicon) -> list[Parsed]:
                 words = words[:i] + words[i + 1 :]
                 break
     core = tuple(sorted(w for w in words))
-    return [Parsed("e", core, x, place) for x in (lines[:3] or [""])] if core else []
+    return [Parsed("e", core, x, place) for x in (lines or [""])] if core else []
 
 
 def _deletions(word: str, most: int) -> set[str]:
@@ -224,7 +224,7 @@ def _distinct_names(jobs: DataFrame, sources: DataFrame, targets: DataFrame) ->
     return materialize(both), known
 
 
-def _lexicon(names: DataFrame, regions: DataFrame, targets: DataFrame) -> Lexicon:
+def _lexicon(names: DataFrame, regions: DataFrame, targets: DataFrame, max_lines: int = 1000) -> Lexicon:
     places = load_regions(regions)
     folded = {simplify(n) for r in places if r.level in ("province", "city") for n in r.names}
     han = sorted(x for x in folded if re.search(f"[{_HAN}]", x))
@@ -237,7 +237,9 @@ def _lexicon(names: DataFrame, regions: DataFrame, targets: DataFrame) -> Lexico
     # Three characters make the ending if they nearly always stand before its last two.
     long = {e for e, n in found.items() if len(e) == 3 and n >= 0.8 * found.get(e[1:], n)}
     ends_han = tuple(sorted(long | {e for e in found if len(e) == 2 and not any(x.endswith(e) for x in long)}, key=lambda e: (-len(e), e)))
-    lines = tuple(sorted(r["l"] for r in targets.select(F.lower(F.trim("industry")).alias("l")).distinct().filter("l IS NOT NULL AND l <> ''").limit(1000).collect()))
+    lines = tuple(sorted(r["l"] for r in targets.select(F.lower(F.trim("industry")).alias("l")).distinct().filter("l IS NOT NULL AND l <> ''").limit(max_lines + 1).collect()))
+    if len(lines) > max_lines:
+        raise ValueError(f"more than {max_lines} industries")
     return Lexicon(tuple(han), latin, ends_han, lines)
 
 

@@ -3,6 +3,8 @@
 import itertools
 import random
 
+import pytest
+
 from millrace.llm import names, near_duplicates as nd, places
 from millrace.llm.components import components
 
@@ -51,6 +53,17 @@ def test_names(spark):
     assert names.name_pairs(jobs.limit(0), sources.limit(0), targets.limit(0), _regions(spark)).count() == 0
 
 
+def test_names_keep_every_line(spark):
+    lines = ("textile", "textiles", "textilery", "textileware", "textilecraft")
+    lex = names.Lexicon((), frozenset(), (), lines)
+    assert {p.line for p in names.parse("Pazlez Vimlul Text.", lex)} == set(lines)
+    shown = spark.createDataFrame([("Pazlez Vimlul Textiles",)], "text string")
+    targets = spark.createDataFrame([(f"line {i}",) for i in range(4)], "industry string")
+    assert len(names._lexicon(shown, _regions(spark), targets, 4).lines_latin) == 4
+    with pytest.raises(ValueError):
+        names._lexicon(shown, _regions(spark), targets, 3)
+
+
 def test_divide_skip_is_exact():
     rng = random.Random(3)
     for _ in range(200):
