@@ -82,15 +82,19 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.repetition(table(spark, d, "documents")).filter("repetitive").select("doc_id").distinct()
+    return repetition.repetition(table(spark, d, "documents"), exact=False).filter("repetitive").select("doc_id").distinct()
 
 
 def p10_share(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition(table(spark, d, "documents"))
 
 
+def p10_risk(spark: SparkSession, d: str) -> DataFrame:
+    return repetition.risk_report(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_classes, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_classes, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share, p10_risk)}
 
 
 def oracle_sql() -> dict[str, str]:

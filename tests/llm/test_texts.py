@@ -120,19 +120,43 @@ REPEATS = [("与法务一起优化支付预算并梳理课程。" * 4, True), ("
 
 
 def test_repetition(spark):
-    shares, _ = repetition.batch_shares([t for t, _ in REPEATS])
+    scores, _, shares = repetition.batch_scores([t for t, _ in REPEATS], exact=True)
     assert shares == pytest.approx([repetition.exact_share(t) for t, _ in REPEATS])
+    assert repetition.batch_scores([])[0].size == 0
     df = spark.createDataFrame([(i, t, 0.5) for i, (t, _) in enumerate(REPEATS)], "doc_id long, text string, share double")
     got = {r["doc_id"]: r["repetitive"] for r in repetition.repetition(df).collect()}
     assert got == {i: x for i, (_, x) in enumerate(REPEATS)}
-    assert repetition.repetition(df.limit(0)).count() == 0
+    assert repetition.repetition(df.limit(0)).count() == 0 and repetition.risk_report(df.limit(0)).count() == 0
+
+
+def _counted(scores, risk):
+    return {c: (sum(x >= c for x, _ in scores), sum(x >= c and not label for x, label in scores)) for c in (risk.share, *risk.lower, *risk.upper)}
 
 
 def test_cutoffs_bound_false_rejection():
-    rng = random.Random(2)
-    holdout = [("a", rng.random() * 0.31, False) for _ in range(2000)] + [("a", 0.5, True)] * 50 + [("b", 0.3, False)] * 5
-    cutoffs = repetition.choose_cutoffs(holdout)
-    assert cutoffs["b"] == max(repetition.RiskControl().grid)
-    false = sum(s == "a" and not x and v >= cutoffs["a"] for s, v, x in holdout)
-    assert false / 2000 <= repetition.RiskControl().alpha
+    """Over many drawn holdouts the true rate among the rejected breaks ``alpha`` no more often than ``delta``."""
+    risk, rng, broken, cutoffs = repetition.RiskControl(alpha=0.05), np.random.default_rng(2), 0, []
+    # Of the rejected at cutoff c, all repetitive texts (uniform above 1/3) and the sound ones above c.
+    true = lambda c: 0.93 * max(0.0, 0.34 - c) / 0.34 / (0.93 * max(0.0, 0.34 - c) / 0.34 + 0.07 * min(1.0, (1 - c) / (2 / 3)))
+    for _ in range(200):
+        label = rng.random(8000) < 0.07
+        score = np.where(label, 1 / 3 + rng.random(8000) * 2 / 3, rng.random(8000) * 0.34)
+        cutoff, certified = repetition.choose_cutoffs({"a": _counted(list(zip(score, label)), risk)}, risk)["a"]
+        assert certified
+        cutoffs.append(cutoff)
+        broken += true(cutoff) > risk.alpha
+    assert broken <= 200 * risk.delta
+    assert repetition.choose_cutoffs({"a": _counted([(0.3, False)] * 5, risk)}, risk) == {"a": (risk.share, False)}
     assert repetition.binomial_upper(0, 100, 0.95) == pytest.approx(1 - 0.05 ** (1 / 100), abs=1e-6)
+
+
+def test_alpha_decides(spark):
+    """The same documents under a looser bound: a lower cutoff rejects more, and nothing else confirms or vetoes it."""
+    rng = random.Random(3)
+    words = [f"{a}{b}" for a in ("al", "be", "ce", "du", "en", "fo") for b in ("ba", "di", "ku", "lo", "ra", "ti", "vo", "za")]
+    fresh = lambda n: " ".join(rng.choice(words) + rng.choice(words) + rng.choice(words) for _ in range(n))
+    texts = [(lambda p: f"{p}. {fresh(8)}. {p}.")(fresh(8)) for _ in range(300)] + [(lambda p: f"{p}. {fresh(34)}. {p}.")(fresh(8)) for _ in range(30)] + [fresh(45) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {a: {r["doc_id"] for r in repetition.repetition(df, repetition.RiskControl(alpha=a)).filter("repetitive").collect()} for a in (0.001, 0.3)}
+    assert found[0.001] == set(range(300))
+    assert found[0.3] == set(range(330))
