@@ -1,30 +1,42 @@
 """Near-duplicate records with small edits (problem 5).
 
-A record is the set of its clauses (letters only, case folded), which no
-reordering, markup, numbering or punctuation changes and a small edit changes
-in one place only.  Records that agree in two thirds of their wording share at
-least the fraction ``SHARED`` of the larger clause set; the search for those
-pairs is a T-occurrence problem.  Clauses are ordered from rare to frequent;
-each record goes to the lists of its ``n - T + 1`` rarest clauses only, and in
-each list DivideSkip answers the T-occurrence queries: the long inverted lists
-are put aside, the short ones heap-merged, and their candidates looked up in
-the long ones by binary search.  A pair is reported in the list of its rarest
-common clause alone; unless most clauses agree word for word, it is checked on
-the wording of title, company and description.
-
-Records with equal clause sets are searched once.  A list
-longer than ``BLOCK`` is spread over pairs of blocks, so no clause, however
-frequent, makes an unbounded task.  Null or blank descriptions take no part;
-repeated rows of one id count once.
+A description is the set of its half sentences: every sentence (letters and
+words only, case and width folded) is split in its middle, on both sides of
+the middle word if it has one.  A substituted, inserted or deleted word or
+character leaves one half of its sentence as it was, so texts with an edit in
+each of their sentences still share about one element for each of them, and
+order, markup, numbering and punctuation change none.  The search for pairs
+that share ``SHARED`` elements a sentence, of the text with more sentences, is a
+T-occurrence problem.
+
+Elements are ordered from rare to frequent; each text goes to the lists of its
+``n - T + 1`` rarest of its ``n`` elements only, and in each list DivideSkip answers the
+T-occurrence queries: the long inverted lists are put aside, the short ones
+heap-merged, and their candidates looked up in the long ones by binary search.
+Texts whose amounts of wording can't agree are skipped (length filter).  A pair
+is reported in the list of its rarest common element alone and then always
+judged on the wording of its own title, company and description.
+
+The nodes are the distinct texts (title, company and description together, by a
+128-bit digest), so copies under many ids are searched once, and an id with
+several texts keeps them all.  A list longer than ``BLOCK`` is spread over pairs
+of blocks, so no element, however frequent, makes an unbounded task.
+
+Null or blank descriptions take no part; a description without letters is one
+element; repeated rows of one id count once; null titles and companies are
+empty.  What the search can miss: pairs most of whose sentences carry edits in
+both halves.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -36,43 +48,73 @@ from millrace.llm.components import components
 from millrace.llm.textforms import simplify
 from millrace.session import materialize
 
-#: Share of the larger clause set that a pair has in common at least, and the agreement in wording (Jaccard over words and character pairs) that makes it a near-duplicate.
-SHARED, AGREEMENT = 0.4, 0.62
-#: With this share of at least SURE_CLAUSES clauses in common word for word, the wording needs no further look.
-SURE, SURE_CLAUSES = 0.6, 4
+#: Elements that a pair has in common for each sentence at least, and the agreement in wording (Jaccard over words and character pairs) that makes it a near-duplicate.
+SHARED, AGREEMENT = 0.9, 0.62
 BLOCK = 2000
+#: Members of a class of copies that one task pairs with another such part.
+PART = 2000
 
 _TAGS = re.compile(r"<[^<>]*>")
-_CUTS = re.compile(r"[.。;；,，、!！?？\n\r:：•–—…\"“”«»()（）\[\]【】]+")
-_OTHER = re.compile(r"[\W\d_]+")
 _CJK = "぀-ヿ㐀-鿿"
-_ANY_CJK = re.compile(f"[{_CJK}]")
-#: Shorter clauses (headings, fragments) say nothing about a text.
-LETTERS_CJK, LETTERS = 5, 12
-_WORDS = re.compile(rf"[{_CJK}]+|[^{_CJK}\s]+")
-
-
-def clauses(description: str) -> set[int]:
-    """Hashes of the clauses of a description; of the whole text if none is long enough."""
-    text = _TAGS.sub("\n", description).casefold()
-    out = set()
-    for part in _CUTS.split(text):
-        part = _OTHER.sub("", part)
-        if len(part) >= (LETTERS_CJK if _ANY_CJK.search(part) else LETTERS):
-            out.add(xxhash.xxh64_intdigest(part) - (1 << 63))
-    if not out and (part := _OTHER.sub("", text)):
-        out.add(xxhash.xxh64_intdigest(part) - (1 << 63))
-    return out
+_ENDS = frozenset(".。;；!！?？\n\r•:：…")
+_WORDS = re.compile(rf"[{_CJK}]+|[^\W\d_{_CJK}]+")
+_PIECES = re.compile(rf"[{_CJK}]+|[^\W\d_{_CJK}]+|[.。;；!！?？\n\r•:：…]")
+#: Shorter sentences are one element.
+SHORT = 4
+
+
+def _element(side: str, units: list[str]) -> int:
+    return (xxhash.xxh32_intdigest(f"{side}{' '.join(units)}")) - (1 << 31)
+
+
+def _east(word: str) -> bool:
+    return "\u3040" <= word[0] <= "\u30ff" or "\u3400" <= word[0] <= "\u9fff"
+
+
+def elements(description: str) -> tuple[set[int], int, int]:
+    """Hashes of the half sentences of a description, how many a near-duplicate has in common with it at least, and its amount of wording.
+
+    A text without letters is one element.  The hashes only steer the search;
+    pairs are judged on their texts.
+    """
+    out, heads, tails, words = set(), set(), set(), 0
+    units: list[str] = []
+    for piece in (*_PIECES.findall(simplify(_TAGS.sub("\n", description))), "."):
+        if piece not in _ENDS:
+            if _east(piece):
+                units += piece
+                words += max(1, len(piece) - 1)
+            else:
+                units.append(piece)
+                words += 1
+            continue
+        n = len(units)
+        if n >= SHORT:
+            k = n // 2
+            out.add(head := _element("<", units[:k]))
+            out.add(tail := _element(">", units[n - k :]))
+            heads.add(head)
+            tails.add(tail)
+            if n % 2:
+                out.add(_element("<", units[: k + 1]))
+                out.add(_element(">", units[k:]))
+        elif n:
+            out.add(_element("=", units))
+        units = []
+    # Sentences that begin or end alike have a half in common with each other.
+    return out or {_element("=", [description.strip()])}, max(1, math.ceil(SHARED * min(len(heads), len(tails)))), words
+
+
+def _pieces(text: str | None) -> list[str]:
+    return _WORDS.findall(simplify(_TAGS.sub(" ", text))) if text else []
 
 
 def wording(title: str | None, company: str | None, description: str | None) -> Counter:
     """Words, and of Chinese and Japanese text character pairs, with their counts."""
     out: Counter = Counter()
     for text in (title, company, description):
-        if not text:
-            continue
-        for word in _WORDS.findall(_OTHER.sub(" ", simplify(_TAGS.sub(" ", text)))):
-            if re.match(f"[{_CJK}]", word):
+        for word in _pieces(text):
+            if _east(word):
                 out.update(word[i : i + 2] for i in range(max(1, len(word) - 1)))
             else:
                 out[word] += 1
@@ -80,12 +122,13 @@ def wording(title: str | None, company: str | None, description: str | None) ->
 
 
 def agreement(a: Counter, b: Counter) -> float:
+    """Jaccard over counted words; two records without any letters agree wholly."""
     common = sum((a & b).values())
     whole = sum(a.values()) + sum(b.values()) - common
-    return common / whole if whole else 0.0
+    return common / whole if whole else 1.0
 
 
-def divide_skip(query: list[int], lists: dict[int, list[int]], least: int, long_lists: int | None = None) -> dict[int, int]:
+def divide_skip(query: Sequence[int], lists: dict[int, list[int]], least: int, long_lists: int | None = None) -> dict[int, int]:
     """Positions that occur in at least ``least`` of the query's inverted lists, with their counts.
 
     ``lists`` holds sorted positions.  The ``long_lists`` longest are only
@@ -119,52 +162,63 @@ def divide_skip(query: list[int], lists: dict[int, list[int]], least: int, long_
     return out
 
 
-def _least(n: int) -> int:
-    """Common clauses that the larger of two records with ``n`` clauses needs."""
-    return max(1, -(-n * int(SHARED * 100) // 100))
+Member = tuple[int, int, int, tuple[int, ...], int]
+#: Lists up to this length are compared member by member; the T-occurrence search begins beyond it.
+FEW = 8
 
 
-def search_list(token: int, members: list[tuple[int, int, tuple[int, ...], int]], left: int, right: int) -> Iterator[tuple[int, int, bool]]:
-    """Pairs of one list, and whether they are sure: ``members`` are key, n, clauses from rare to frequent, block.
+def search_list(token: int, members: list[Member], left: int, right: int) -> Iterator[tuple[int, int]]:
+    """Pairs of one list; ``members`` are key, least overlap, amount of wording, shared elements from rare to frequent, block.
 
-    Only pairs between block ``left`` and block ``right``.
+    Only pairs between block ``left`` and block ``right``, and only those whose
+    rarest common element is ``token``; so elements rarer than it aren't looked at.
     """
     members = sorted(members)
+    after = [m[3][m[3].index(token) :] for m in members]
+
+    def report(i: int, j: int) -> Iterator[tuple[int, int]]:
+        (a, _, x, s, _), (b, _, y, t, _) = members[i], members[j]
+        if a != b and min(x, y) >= AGREEMENT * max(x, y) and set(s[: -len(after[i])]).isdisjoint(t[: -len(after[j])]):
+            yield min(a, b), max(a, b)
+
+    if len(members) <= FEW:
+        sets = [frozenset(x) for x in after]
+        for i, one in enumerate(members):
+            for j in range(i + 1, len(members)):
+                two = members[j]
+                least = max(one[1], two[1])
+                if (left == right or one[4] != two[4]) and len(after[i]) >= least and len(after[j]) >= least and len(sets[i] & sets[j]) >= least:
+                    yield from report(i, j)
+        return
     lists: dict[int, list[int]] = {}
-    for i, m in enumerate(members):
-        if m[3] == right:
-            for t in m[2]:
-                lists.setdefault(t, []).append(i)
-    for i, (key, n, tokens, block) in enumerate(members):
-        if block != left:
+    for j, m in enumerate(members):
+        if m[4] == right:
+            for t in after[j]:
+                lists.setdefault(t, []).append(j)
+    for i, (_, least, _, _, block) in enumerate(members):
+        if block != left or len(after[i]) < least:
             continue
-        for j, common in divide_skip(list(tokens), lists, _least(n)).items():
-            other, m, theirs, _ = members[j]
-            # Within a block both ends ask; the one with more clauses, or else the first, reports.
-            if other == key or (left == right and (m > n or (m == n and j <= i))):
-                continue
-            if left != right and m > n and len(set(tokens) & set(theirs)) < _least(m):
-                continue
-            have = set(theirs)
-            if next(t for t in tokens if t in have) == token:
-                most = max(n, m)
-                yield min(key, other), max(key, other), most >= SURE_CLAUSES and common >= SURE * most
+        for j, common in divide_skip(after[i], lists, least).items():
+            most = members[j][1]
+            # Within a block both ends ask; the one that needs more, or else the first, reports.
+            if common >= most and (left != right or most < least or (most == least and j > i)):
+                yield from report(i, j)
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lists arrive together, as the rows are sorted; one is held at a time."""
 
-    def out(pairs: list[tuple[int, int, bool]]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64()), pa.array([x[2] for x in pairs], pa.bool_())], ["a", "b", "sure"])
+    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64())], ["a", "b"])
 
     current, members, pairs = None, [], []
     for batch in batches:
-        for tok, left, right, key, n, tokens, block in zip(*(c.to_pylist() for c in batch.columns)):
+        for tok, left, right, key, least, words, tokens, block in zip(*(c.to_pylist() for c in batch.columns)):
             if (tok, left, right) != current:
                 if len(members) > 1:
                     pairs += search_list(current[0], members, current[1], current[2])
                 current, members = (tok, left, right), []
-            members.append((key, n, tuple(tokens), block))
+            members.append((key, least, words, tuple(tokens), block))
         if len(pairs) > 10_000:
             yield out(pairs)
             pairs = []
@@ -173,72 +227,86 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(pairs)
 
 
-def _clause_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @lru_cache(maxsize=4096)
+    def cut(title, company, description):
+        found, least, words = elements(description)
+        return sorted(found), least, words + sum(max(1, len(w) - 1) if _east(w) else 1 for x in (title, company) for w in _pieces(x))
+
     for batch in batches:
-        found = [sorted(clauses(x)) for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["k", "toks"])
+        found = [cut(*x) for x in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _, _ in found], pa.list_(pa.int32())), pa.array([n for _, n, _ in found], pa.int32()), pa.array([w for _, _, w in found], pa.int32())], ["id", "d", "toks", "least", "words"])
 
 
-def near_duplicate_links(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links between clause sets (``a, b``), and ``k, rep``: the clause set of every record.
+def _described(jobs: DataFrame) -> DataFrame:
+    """``id, d, title, company, description``, ``d`` a digest of the three texts."""
+    part = lambda c: F.concat(F.length(F.coalesce(c, F.lit(""))).cast("string"), F.lit(":"), F.coalesce(c, F.lit("")))
+    digest = F.unhex(F.md5(F.concat(*[part(F.col(c)) for c in ("title", "company", "description")])))
+    return jobs.filter(F.col("id").isNotNull() & F.col("description").rlike(r"[^\s\u3000]")).select("id", digest.alias("d"), "title", "company", "description")
 
-    ``k`` are 64-bit hashes of the ids, ``rep`` of the clause sets.
-    """
-    described = jobs.filter(F.col("id").isNotNull() & F.col("description").rlike(r"[^\s　]"))
-    cut = described.select(F.xxhash64("id").alias("k"), "description").mapInArrow(_clause_rows, "k long, toks array<long>").filter(F.size("toks") > 0)
-    rows = materialize(cut.withColumn("rep", F.xxhash64("toks")))
-    member = materialize(rows.groupBy("k").agg(F.min("rep").alias("rep")))
-    heads = materialize(rows.groupBy(F.col("rep").alias("k")).agg(F.min("toks").alias("toks")))
-    postings = heads.select("k", F.size("toks").alias("n"), F.explode("toks").alias("tok"))
-    frequent = heads.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
-    # Clauses that no other record has are only counted (n); they can't be common.
-    ordered = postings.join(frequent, "tok").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
-    unshared = F.col("n") - F.size("o")
-    prefix = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * SHARED).cast("int") + 1 - unshared)
-    routed = ordered.filter(F.size("o") >= F.ceil(F.col("n") * SHARED)).select("k", "n", F.transform("o", lambda x: x["tok"]).alias("toks"), F.explode(F.slice("o", F.lit(1), prefix)).alias("p"))
+
+def near_duplicate_links(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links between distinct texts (``a, b``), and ``id, t``: the texts of every id."""
+    described = _described(jobs)
+    rows = materialize(described.mapInArrow(_element_rows, "id string, d binary, toks array<int>, least int, words int"))
+    # The keys are drawn once and written; a lost executor reads them again.
+    heads = materialize(rows.groupBy("d").agg(F.first("toks").alias("toks"), F.first("least").alias("least"), F.first("words").alias("words")).withColumn("t", F.monotonically_increasing_id()))
+    member = materialize(rows.select("id", "d").distinct().join(heads.select("d", "t"), "d").select("id", "t"))
+    postings = heads.select("t", "least", "words", F.explode("toks").alias("tok"))
+    frequent = heads.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").cast("int").alias("df")).filter("df > 1")
+    # Elements that no other text has can't be common.
+    ordered = postings.join(frequent, "tok").groupBy("t", "least", "words").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    prefix = F.size("o") - F.col("least") + 1
+    routed = ordered.filter(F.size("o") >= F.col("least")).select("t", "least", "words", F.transform("o", lambda x: x["tok"]).alias("toks"), F.explode(F.slice("o", F.lit(1), prefix)).alias("p"))
     blocks = F.ceil(F.col("p.df") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("k"), blocks).cast("int")
+    own = F.pmod(F.xxhash64("t"), blocks).cast("int")
     spread = routed.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    lists = spread.select(F.col("p.tok").alias("tok"), F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "k", "n", "toks", "block")
-    found = lists.repartition("tok", "left", "right").sortWithinPartitions("tok", "left", "right").mapInArrow(_search, "a long, b long, sure boolean")
+    lists = spread.select(F.col("p.tok").alias("tok"), F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "t", "least", "words", "toks", "block")
+    found = lists.repartition("tok", "left", "right").sortWithinPartitions("tok", "left", "right").mapInArrow(_search, "a long, b long")
     candidates = materialize(found.distinct())
-    unsure = candidates.filter("NOT sure").select("a", "b")
-    wanted = unsure.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    asked = member.join(wanted, "rep").groupBy("rep").agg(F.min("k").alias("k"))
-    texts = materialize(described.select(F.xxhash64("id").alias("k"), "title", "company", "description").join(asked, "k").dropDuplicates(["rep"]).drop("k"))
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("t")).distinct().join(heads.select("d", "t"), "t")
+    texts = materialize(described.drop("id").join(wanted, "d").dropDuplicates(["t"]).select("t", F.struct("title", "company", "description").alias("x")))
 
     @F.pandas_udf("boolean")
     def agree(t1: pd.Series, c1: pd.Series, d1: pd.Series, t2: pd.Series, c2: pd.Series, d2: pd.Series) -> pd.Series:
-        return pd.Series([agreement(wording(*x), wording(*y)) >= AGREEMENT for x, y in zip(zip(t1, c1, d1), zip(t2, c2, d2))])
+        counted = lru_cache(maxsize=4096)(wording)
+        return pd.Series([agreement(counted(*x), counted(*y)) >= AGREEMENT for x, y in zip(zip(t1, c1, d1), zip(t2, c2, d2))], dtype=bool)
 
-    one = texts.select(F.col("rep").alias("a"), F.struct("title", "company", "description").alias("x"))
-    two = texts.select(F.col("rep").alias("b"), F.struct("title", "company", "description").alias("y"))
-    checked = unsure.join(one, "a").join(two, "b").filter(agree("x.title", "x.company", "x.description", "y.title", "y.company", "y.description")).select("a", "b")
-    return materialize(candidates.filter("sure").select("a", "b").unionByName(checked)), member
+    one, two = (texts.select(F.col("t").alias(k), F.col("x").alias(x)) for k, x in (("a", "x"), ("b", "y")))
+    links = candidates.join(one, "a").join(two, "b").filter(agree("x.title", "x.company", "x.description", "y.title", "y.company", "y.description")).select("a", "b")
+    return materialize(links), member
 
 
-def _ids(jobs: DataFrame) -> DataFrame:
-    return jobs.filter("id IS NOT NULL").select(F.xxhash64("id").alias("k"), "id").distinct()
+def _parts(member: DataFrame) -> DataFrame:
+    """``member`` with the number of parts its text's ids are cut into, and its own part."""
+    size = member.groupBy("t").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+    return materialize(member.join(size, "t").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")))
 
 
 def near_duplicate_pairs(jobs: DataFrame) -> DataFrame:
-    """``id_a, id_b``, the smaller first: every pair of near-duplicate ids once."""
+    """``id_a, id_b``, the smaller first: every pair of near-duplicate ids once.
+
+    The ids of a text with very many copies are paired part by part.
+    """
     links, member = near_duplicate_links(jobs)
-    x, y = member.select(F.col("rep").alias("a"), F.col("k").alias("ka")), member.select(F.col("rep").alias("b"), F.col("k").alias("kb"))
-    linked = links.join(x, "a").join(y, "b").select("ka", "kb")
-    # Within a class of equal clause sets the records are compared through the same key.
-    copies = member.groupBy("rep").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("rep").alias("a"))
-    equal = x.join(copies, "a").join(y.withColumnRenamed("b", "a"), "a").filter("ka < kb").select("ka", "kb")
-    ids = _ids(jobs)
-    named = linked.unionByName(equal).join(ids.select(F.col("k").alias("ka"), F.col("id").alias("i")), "ka").join(ids.select(F.col("k").alias("kb"), F.col("id").alias("j")), "kb")
-    return named.select(F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b"))
+    placed = _parts(member)
+    size = placed.groupBy("t").agg(F.count("*").alias("n"), F.max("parts").alias("parts"))
+    equal = size.filter("n > 1").select(F.col("t").alias("a"), F.col("t").alias("b"))
+    both = links.unionByName(equal).join(size.select(F.col("t").alias("a"), F.col("parts").alias("pa")), "a").join(size.select(F.col("t").alias("b"), F.col("parts").alias("pb")), "b")
+    tasks = both.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("pa") - 1)).alias("i"), "pb").select("a", "b", "i", F.explode(F.sequence(F.lit(0), F.col("pb") - 1)).alias("j"))
+    x, y = placed.select(F.col("t").alias("a"), F.col("part").alias("i"), F.col("id").alias("id_x")), placed.select(F.col("t").alias("b"), F.col("part").alias("j"), F.col("id").alias("id_y"))
+    named = tasks.join(x, ["a", "i"]).join(y, ["b", "j"]).filter("id_x <> id_y")
+    return named.select(F.least("id_x", "id_y").alias("id_a"), F.greatest("id_x", "id_y").alias("id_b")).distinct()
 
 
 def near_duplicate_groups(jobs: DataFrame) -> DataFrame:
-    """``id, class_id, links``: one row per id with a description; a record without near-duplicates is its own class."""
+    """``id, class_id, links``: one row per id with a description; a record without near-duplicates is its own class.
+
+    Texts of one id are one class; ``links`` counts the other texts its texts are linked to.
+    """
     links, member = near_duplicate_links(jobs)
-    labels = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
-    full = member.join(labels.select(F.col("node").alias("rep"), "component"), "rep", "left").join(degree, "rep", "left")
-    out = full.select("k", F.coalesce("component", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-    return _ids(jobs).join(out, "k").select("id", "class_id", "links")
+    same_id = member.groupBy("id").agg(F.min("t").alias("a")).join(member, "id").filter("a <> t").select("a", F.col("t").alias("b"))
+    labels = components(links.unionByName(same_id).distinct())
+    degree = links.select(F.explode(F.array("a", "b")).alias("t")).groupBy("t").agg(F.count("*").alias("links"))
+    full = member.join(labels.select(F.col("node").alias("t"), "component"), "t", "left").join(degree, "t", "left")
+    return full.groupBy("id").agg(F.min(F.coalesce("component", "t")).alias("class_id"), F.coalesce(F.sum("links"), F.lit(0)).alias("links"))

@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from millrace.llm import names, near_duplicates as nd, places
@@ -102,6 +103,65 @@ def test_near_duplicates_match_brute_force(spark):
     assert nd.near_duplicate_pairs(jobs.limit(0)).count() == 0
 
 
+def _edited(rng, sentence):
+    """One edit: a unit replaced, left out or put in."""
+    units, i = sentence[:], rng.randrange(len(sentence))
+    how = rng.randrange(3)
+    units[i : i + (how != 2)] = [] if how == 1 else ["改" if len(units[0]) == 1 else "edited"]
+    return units
+
+
+def test_recall_with_an_edit_in_every_sentence(spark):
+    """2,000 records, every sentence of every variant edited once: all pairs a brute-force comparison finds."""
+    rng = random.Random(8)
+    letters = [chr(0x4E00 + 7 * i) for i in range(900)]
+    words = [a + b for a in ("bra", "cle", "dro", "fli", "gna", "pru", "sta", "vel") for b in ("bin", "cor", "dal", "fer", "mus", "nit", "pol", "rig", "tas", "wem")]
+    rows = []
+    for g in range(1000):
+        units, n = (letters, 26) if g % 2 else (words, 16)
+        base = [[rng.choice(units) for _ in range(rng.randint(n - 4, n))] for _ in range(rng.randint(1, 6))]
+        changed = [_edited(rng, x) for x in base]
+        rng.shuffle(changed)
+        for c, text in (("a", base), ("b", changed)):
+            rows.append((f"{g:04d}{c}", "", "", "".join(("" if g % 2 else " ").join(x) + ("。" if g % 2 else ". ") for x in text)))
+    counts = [nd.wording(*r[1:]) for r in rows]
+    seen = {w: i for i, w in enumerate(sorted({w for c in counts for w in c}))}
+    total = np.array([sum(c.values()) for c in counts])
+    index: dict = {}
+    for i, c in enumerate(counts):
+        for w in c:
+            index.setdefault(w, []).append(i)
+    want = set()
+    for i, c in enumerate(counts):
+        common = np.zeros(len(rows))
+        for w, n in c.items():
+            for j in index[w]:
+                if j > i:
+                    common[j] += min(n, counts[j][w])
+        want |= {(rows[i][0], rows[j][0]) for j in np.flatnonzero(common >= nd.AGREEMENT * (total + total[i] - common)) if j > i}
+    assert len(want) > 900 and seen
+    jobs = spark.createDataFrame(rows, "id string, title string, company string, description string")
+    assert {tuple(r) for r in nd.near_duplicate_pairs(jobs).collect()} == want
+
+
+def test_every_pair_is_judged_on_its_own_fields(spark):
+    one = "We keep every ledger of the harbour in good order and report on it"
+    rows = [("a", "Senior Nurse Berlin", "Alpha Clinic GmbH", "We value curiosity."), ("b", "Forklift Driver Porto", "Omega Freight Lda", "We value curiosity."), ("c", "Clerk", "Port", one), ("d", "Clerk", "Port", one.replace("good", "fine"))]
+    # An id with two texts is linked through both.
+    rows += [("e", "Clerk", "Port", "全新的一段文字没有别的记录和它相同。"), ("e", "Clerk", "Port", one.replace("order", "shape")), ("f", None, None, "12 34"), ("g", None, None, "12 34")]
+    jobs = spark.createDataFrame(rows, "id string, title string, company string, description string")
+    assert {tuple(r) for r in nd.near_duplicate_pairs(jobs).collect()} == {("c", "d"), ("c", "e"), ("d", "e"), ("f", "g")}
+    links = {r["id"]: r["links"] for r in nd.near_duplicate_groups(jobs).collect()}
+    assert links == {"a": 0, "b": 0, "c": 2, "d": 2, "e": 2, "f": 0, "g": 0}
+
+
+def test_copies_are_paired_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(nd, "PART", 7)
+    rows = [(f"j{i:02d}", "t", "c", "一段被发布了许多次的文字，编号不同。") for i in range(30)] + [("k", "t", "c", "一段被发布了许多次的文字，标号不同。")]
+    jobs = spark.createDataFrame(rows, "id string, title string, company string, description string")
+    assert nd.near_duplicate_pairs(jobs).count() == 31 * 30 // 2
+
+
 def test_hot_clause_is_searched_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 8)
     rows = [(f"j{i:03d}", "t", "c", f"所有文本都有的一句话。又一句大家都有的话。第{'零一二三四五六七八九'[i // 10]}{'零一二三四五六七八九'[i % 10]}号独有") for i in range(40)]
