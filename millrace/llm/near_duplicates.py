@@ -38,6 +38,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -109,22 +110,30 @@ def _pieces(text: str | None) -> list[str]:
     return _WORDS.findall(simplify(_TAGS.sub(" ", text))) if text else []
 
 
-def wording(title: str | None, company: str | None, description: str | None) -> Counter:
-    """Words, and of Chinese and Japanese text character pairs, with their counts."""
-    out: Counter = Counter()
+def wording(title: str | None, company: str | None, description: str | None) -> frozenset:
+    """Words, and of Chinese and Japanese text character pairs; what occurs again is told apart by its count."""
+    found: list = []
     for text in (title, company, description):
         for word in _pieces(text):
-            if _east(word):
-                out.update(word[i : i + 2] for i in range(max(1, len(word) - 1)))
+            if not _east(word) or len(word) == 1:
+                found.append(word)
             else:
-                out[word] += 1
-    return out
-
-
-def agreement(a: Counter, b: Counter) -> float:
+                found += zip(word, word[1:])
+    once = frozenset(found)
+    if len(once) == len(found):
+        return once
+    seen: Counter = Counter()
+    counted = []
+    for x in found:
+        seen[x] += 1
+        counted.append(x if seen[x] == 1 else (x, seen[x]))
+    return frozenset(counted)
+
+
+def agreement(a: frozenset, b: frozenset) -> float:
     """Jaccard over counted words; two records without any letters agree wholly."""
-    common = sum((a & b).values())
-    whole = sum(a.values()) + sum(b.values()) - common
+    common = len(a & b)
+    whole = len(a) + len(b) - common
     return common / whole if whole else 1.0
 
 
@@ -162,69 +171,84 @@ def divide_skip(query: Sequence[int], lists: dict[int, list[int]], least: int, l
     return out
 
 
-Member = tuple[int, int, int, tuple[int, ...], int]
+#: Key, least overlap, amount of wording, block, and the shared elements from rare to frequent: those before the list's own, and from it on.
+Member = tuple[int, int, int, int, list[int], list[int]]
 #: Lists up to this length are compared member by member; the T-occurrence search begins beyond it.
 FEW = 8
 
 
-def search_list(token: int, members: list[Member], left: int, right: int) -> Iterator[tuple[int, int]]:
-    """Pairs of one list; ``members`` are key, least overlap, amount of wording, shared elements from rare to frequent, block.
+def search_list(members: list[Member], left: int, right: int) -> Iterator[tuple[int, int]]:
+    """Pairs of one list that share enough elements and have its element as their rarest common one.
 
-    Only pairs between block ``left`` and block ``right``, and only those whose
-    rarest common element is ``token``; so elements rarer than it aren't looked at.
+    Only pairs between block ``left`` and block ``right``.
     """
-    members = sorted(members)
-    after = [m[3][m[3].index(token) :] for m in members]
 
-    def report(i: int, j: int) -> Iterator[tuple[int, int]]:
-        (a, _, x, s, _), (b, _, y, t, _) = members[i], members[j]
-        if a != b and min(x, y) >= AGREEMENT * max(x, y) and set(s[: -len(after[i])]).isdisjoint(t[: -len(after[j])]):
-            yield min(a, b), max(a, b)
+    def report(one: Member, two: Member) -> Iterator[tuple[int, int]]:
+        if one[0] != two[0] and min(one[2], two[2]) >= AGREEMENT * max(one[2], two[2]) and set(one[4]).isdisjoint(two[4]):
+            yield min(one[0], two[0]), max(one[0], two[0])
 
     if len(members) <= FEW:
-        sets = [frozenset(x) for x in after]
+        sets = [frozenset(m[5]) for m in members]
         for i, one in enumerate(members):
-            for j in range(i + 1, len(members)):
+            for j in range(i):
                 two = members[j]
                 least = max(one[1], two[1])
-                if (left == right or one[4] != two[4]) and len(after[i]) >= least and len(after[j]) >= least and len(sets[i] & sets[j]) >= least:
-                    yield from report(i, j)
+                if (left == right or one[3] != two[3]) and len(sets[i]) >= least and len(sets[j]) >= least and len(sets[i] & sets[j]) >= least:
+                    yield from report(one, two)
         return
     lists: dict[int, list[int]] = {}
     for j, m in enumerate(members):
-        if m[4] == right:
-            for t in after[j]:
+        if m[3] == right:
+            for t in m[5]:
                 lists.setdefault(t, []).append(j)
-    for i, (_, least, _, _, block) in enumerate(members):
-        if block != left or len(after[i]) < least:
+    for i, one in enumerate(members):
+        least = one[1]
+        if one[3] != left or len(one[5]) < least:
             continue
-        for j, common in divide_skip(after[i], lists, least).items():
+        for j, common in divide_skip(one[5], lists, least).items():
             most = members[j][1]
             # Within a block both ends ask; the one that needs more, or else the first, reports.
             if common >= most and (left != right or most < least or (most == least and j > i)):
-                yield from report(i, j)
+                yield from report(one, members[j])
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists arrive together, as the rows are sorted; one is held at a time."""
-
-    def out(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    """Lists arrive together, as the rows are sorted; the rows of one are held at a time."""
+
+    def pairs_of(rows: pa.Table) -> Iterator[tuple[int, int]]:
+        tok, left, right, key, least, words, block = (rows.column(c).to_numpy() for c in ("tok", "left", "right", "t", "least", "words", "block"))
+        toks = rows.column("toks").combine_chunks()
+        ends, flat = toks.offsets.to_numpy(), toks.values.to_numpy()
+        new = np.flatnonzero((np.diff(tok) != 0) | (np.diff(left) != 0) | (np.diff(right) != 0)) + 1
+        edges = np.concatenate([[0], new, [len(tok)]])
+        for begin, end in zip(edges[:-1], edges[1:]):
+            if end - begin < 2:
+                continue
+            members = []
+            for i in range(begin, end):
+                have = flat[ends[i] : ends[i + 1]].tolist()
+                at = have.index(tok[i])
+                members.append((int(key[i]), int(least[i]), int(words[i]), int(block[i]), have[:at], have[at:]))
+            yield from search_list(members, int(left[begin]), int(right[begin]))
+
+    def out(rows: pa.Table) -> pa.RecordBatch:
+        pairs = list(pairs_of(rows)) if rows.num_rows else []
         return pa.RecordBatch.from_arrays([pa.array([x[0] for x in pairs], pa.int64()), pa.array([x[1] for x in pairs], pa.int64())], ["a", "b"])
 
-    current, members, pairs = None, [], []
+    held: pa.Table | None = None
     for batch in batches:
-        for tok, left, right, key, least, words, tokens, block in zip(*(c.to_pylist() for c in batch.columns)):
-            if (tok, left, right) != current:
-                if len(members) > 1:
-                    pairs += search_list(current[0], members, current[1], current[2])
-                current, members = (tok, left, right), []
-            members.append((key, least, words, tuple(tokens), block))
-        if len(pairs) > 10_000:
-            yield out(pairs)
-            pairs = []
-    if len(members) > 1:
-        pairs += search_list(current[0], members, current[1], current[2])
-    yield out(pairs)
+        rows = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, rows]) if held is not None else rows
+        last = held.slice(held.num_rows - 1, 1)
+        same = np.ones(held.num_rows, bool)
+        for c in ("tok", "left", "right"):
+            same &= held.column(c).to_numpy() == last.column(c)[0].as_py()
+        begin = int(np.argmax(same))
+        if begin:
+            yield out(held.slice(0, begin))
+            held = held.slice(begin)
+    if held is not None:
+        yield out(held)
 
 
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
