@@ -162,7 +162,9 @@ def normalise(df: DataFrame, key: str, stamp: str, source: str, sources: DataFra
     zone and locale in order hold.
     """
     clock = sources.groupBy(F.col("id").alias("_sid")).agg(F.min("feed_zone").alias("_zone"), F.min("feed_locale").alias("_locale"))
-    zones = [r["_zone"] for r in clock.select("_zone").distinct().limit(max_zones).collect() if r["_zone"]]
+    zones = [r["_zone"] for r in clock.select("_zone").distinct().limit(max_zones + 1).collect() if r["_zone"]]
+    if len(zones) > max_zones:
+        raise ValueError(f"more than {max_zones} zones")
     rows = df.select(F.col(key).alias("_key"), F.col(stamp).alias("_stamp"), F.col(source).alias("_source")).filter(F.col("_stamp").rlike(r"\d"))
     joined = rows.join(clock, F.col("_source") == F.col("_sid"), "left")
     return joined.select(F.col("_key").alias(key), utc_micros(F.col("_stamp"), F.col("_zone"), F.col("_locale"), abbreviations(zones)).alias("utc_us")).filter("utc_us IS NOT NULL")

@@ -6,7 +6,6 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,9 +56,26 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if not _written:
+        atexit.register(release, spark)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_written: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what ``materialize`` wrote in this process; results that read it must be done.  Runs at exit as well."""
+    while _written:
+        path = _written.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the session has ended already
+            return
+
+
 def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast hint, given only if ``df`` really has at most ``rows`` rows.
 
@@ -67,7 +83,3 @@ def broadcast_within(df: DataFrame, rows: int) -> DataFrame:
     shuffled join.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
-def package_root() -> Path:
-    return Path(__file__).resolve().parent

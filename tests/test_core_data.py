@@ -4,6 +4,7 @@ from datetime import UTC, datetime
 
 import pytest
 
+from millrace.functions.bounds import binomial_lower
 from millrace.operators import split_fields as S
 from millrace.operators import timestamps as T
 
@@ -79,3 +80,26 @@ def test_timestamps(spark):
     want = {i: round(datetime.fromisoformat(w).replace(tzinfo=UTC).timestamp() * 1_000_000) for i, (_, _, w) in enumerate(STAMPS) if w}
     assert got == want
     assert T.normalise(df.limit(0), "row", "published_at", "source_id", sources).count() == 0
+
+
+def test_values_do_not_depend_on_corpus_size(spark):
+    """The same rows give the same values inside corpora of three sizes of one kind."""
+    base = [f"Evora, Portugal; city {i}" for i in range(6)] + [f"Rome, {x}" for x in ("Oslo", "Bern", "Riga", "Nice")] + ["Shapingya, Lizhou"]
+    got = []
+    for times in (1, 10, 100):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(base * times)], "rec_id long, location string")
+        got.append(sorted(tuple(r) for r in S.split_field(df, "rec_id", "location", C).filter(f"rec_id < {len(base)}").collect()))
+    assert got[0] == got[1] == got[2] and (0, 2, 1, "Evora, Portugal") in got[0] and (6, 2, 1, "Rome") in got[0]
+
+
+def test_exact_lower_bound():
+    assert binomial_lower(5, 5, 0.95) == pytest.approx(0.05**0.2, abs=1e-6)
+    assert binomial_lower(0, 9, 0.95) == 0.0 and binomial_lower(0, 0, 0.95) == 0.0
+    assert 0.4 < binomial_lower(500, 1000, 0.95) < 0.5
+
+
+def test_too_many_zones_is_an_error(spark):
+    sources = spark.createDataFrame([("a", "UTC", "x"), ("b", "Asia/Tokyo", "x")], "id string, feed_zone string, feed_locale string")
+    df = spark.createDataFrame([(1, "2025-01-01", "a")], "rec_id long, published_at string, source_id string")
+    with pytest.raises(ValueError):
+        T.normalise(df, "rec_id", "published_at", "source_id", sources, max_zones=1)
