@@ -3,9 +3,12 @@
 A multi-pattern automaton over all names and aliases of the reference list
 finds mentions inside a value; the longest non-overlapping ones win, and on
 Latin text they must begin and end with a word.  What remains goes to
-token-set similarity: of the listed names that share enough character pairs,
-the nearest by edit distance is taken.  The finest entry named counts; a value
-that names none, or several equally well, gives ``none``.
+token-set similarity, in which the order of tokens is nothing: words that match
+up to a misspelling, or the characters of a Chinese name.  Candidates come from
+inverted lists of character pairs and characters, so the length of the list
+doesn't matter; a name as a whole is tried first by edit distance.  The finest
+entry named counts; a value that names none, or several equally well, gives
+``none``.
 
 The reference list is a dimension whose size is checked (``max_regions``); it
 travels to the tasks once.  Values are resolved where they stand, with a
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.textforms import osa_distance, simplify
 from millrace.operators.split_fields import region_containers, split_field
+from millrace.session import materialize
 
 NONE = "none"
 _HAN = r"[㐀-鿿]"
@@ -50,6 +54,31 @@ def load_regions(regions: DataFrame, max_regions: int = 50_000) -> tuple[Region,
     return tuple(sorted((Region(r["region_code"], r["level_name"], r["province_code"], tuple(sorted({x for x in [r["name_zh"], r["name_en"], *(r["aliases"] or [])] if x}))) for r in rows), key=lambda r: r.code))
 
 
+#: Token-set similarity from which a name is meant.
+ALIKE = 0.72
+
+
+def _edits(length: int) -> int:
+    """Misspellings a word of this length may have."""
+    return 0 if length < 4 else 1 if length < 6 else 2 if length < 11 else 3
+
+
+def token_set_similarity(a: tuple[str, ...], b: tuple[str, ...]) -> float:
+    """Share of the letters of both token sets that stand in matching tokens, less their misspelt letters."""
+    left, matched = list(dict.fromkeys(b)), 0.0
+    for x in sorted(set(a), key=lambda w: (-len(w), w)):
+        best = None
+        for y in left:
+            most = _edits(max(len(x), len(y)))
+            d = osa_distance(x, y, most)
+            if d <= most and (best is None or d < best[0]):
+                best = (d, y)
+        if best:
+            left.remove(best[1])
+            matched += (len(x) + len(best[1])) * (1 - best[0] / max(len(x), len(best[1])))
+    return matched / max(1, sum(map(len, set(a))) + sum(map(len, set(b))))
+
+
 def _pairs(word: str) -> frozenset[str]:
     return frozenset(word[i : i + 2] for i in range(len(word) - 1))
 
@@ -62,12 +91,15 @@ class PlaceIndex:
 
         self.region = {r.code: r for r in regions}
         codes: dict[str, set[str]] = {}
+        tokens: dict[str, tuple[str, ...]] = {}
         for r in regions:
             for name in r.names:
-                key = simplify(name)
-                key = re.sub(r"\s+", "", key) if re.search(_HAN, key) else re.sub(r"[^a-z]", "", key)
+                folded = simplify(name)
+                key = re.sub(r"\s+", "", folded) if re.search(_HAN, folded) else re.sub(r"[^a-z]", "", folded)
                 if key:
                     codes.setdefault(key, set()).add(r.code)
+                    if key.isascii() and len(words := tuple(w for w in re.findall("[a-z]+", folded) if w not in _NOISE)) > 1:
+                        tokens.setdefault(key, words)
         self.codes = {k: frozenset(v) for k, v in codes.items()}
         self.automaton = ahocorasick.Automaton()
         for key in self.codes:
@@ -79,7 +111,13 @@ class PlaceIndex:
         for k, pairs in self.latin.items():
             for p in pairs:
                 self.by_pair.setdefault(p, []).append(k)
-        self.han = [(k, c) for k, c in self.codes.items() if not k.isascii() and len(k) == 3 and k[-1] not in "省市"]
+        self.tokens = tokens
+        # Cities by the characters of their names; full forms are found through the short ones.
+        self.by_char: dict[str, set[str]] = {}
+        for k, c in self.codes.items():
+            if not k.isascii() and len(k) >= 3 and k[-1] not in "省市" and any(self.region[x].level == "city" for x in c):
+                for char in k:
+                    self.by_char.setdefault(char, set()).add(k)
 
     def mentions(self, text: str, starts: set[int] | None = None, ends: set[int] | None = None) -> list[tuple[int, int, str]]:
         """Longest non-overlapping mentions, optionally on word boundaries."""
@@ -115,17 +153,45 @@ class PlaceIndex:
                     out[k] = d - likeness / 1000
         return out
 
-    def near_han(self, text: str, provinces: set[str]) -> set[str]:
-        """Cities whose three-character name differs in one character from a stretch of ``text``."""
-        out: set[str] = set()
-        for i in range(len(text) - 2):
-            w = text[i : i + 3]
-            for k, codes in self.han:
-                if (w[0] == k[0]) + (w[1] == k[1]) + (w[2] == k[2]) == 2 or (w != k and sorted(w) == sorted(k)):
-                    out |= {c for c in codes if self.region[c].level == "city" and (not provinces or self.region[c].province in provinces)}
+    def near_tokens(self, run: list[str]) -> dict[str, float]:
+        """Listed names of several words that have nearly the words of ``run``, in any order, by rank value."""
+        words = tuple(w for w in run if w not in _NOISE)
+        if len(words) < 2:
+            return {}
+        shared: dict[str, int] = {}
+        for p in frozenset().union(*(_pairs(w) for w in words)):
+            for k in self.by_pair.get(p, ()):
+                shared[k] = shared.get(k, 0) + 1
+        out = {}
+        for k in shared:
+            if k in self.tokens and (likeness := token_set_similarity(words, self.tokens[k])) >= ALIKE:
+                out[k] = 5 - likeness
         return out
 
+    def near_han(self, text: str, provinces: set[str]) -> set[str]:
+        """Cities one of whose names a stretch of ``text`` spells with other order or one wrong, lacking or added character (two from six characters on)."""
+        shared: dict[str, int] = {}
+        for char in set(text):
+            for k in self.by_char.get(char, ()):
+                shared[k] = shared.get(k, 0) + 1
+        best: dict[int, set[str]] = {}
+        for k, n in shared.items():
+            most = 1 if len(k) < 6 else 2
+            if n < len(set(k)) - most:
+                continue
+            fit = {c for c in self.codes[k] if self.region[c].level == "city" and (not provinces or self.region[c].province in provinces)}
+            sizes = {len(k)} if len(k) == 3 else {len(k) - 1, len(k), len(k) + 1}
+            near = min((min(most, osa_distance(w, k, most)) if sorted(w) == sorted(k) else osa_distance(w, k, most) for size in sizes for i in range(max(0, len(text) - size + 1)) for w in (text[i : i + size],)), default=most + 1)
+            if fit and near <= most:
+                best.setdefault(near if len(k) > 3 else 1, set()).update(fit)
+        return best[min(best)] if best else set()
+
     def resolve(self, value: str) -> str:
+        """The entry's code, or ``none``."""
+        return self.verdict(value) or NONE
+
+    def verdict(self, value: str) -> str | None:
+        """As ``resolve``, but None if nothing is named and ``none`` only if several fit equally well."""
         text = simplify(value)
         main = re.sub(r"[(（\[【][^)）\]】]*[)）\]】]", " ", text)
         got = self._resolve(main if re.search(rf"[a-z]|{_HAN}", main) else text)
@@ -135,7 +201,7 @@ class PlaceIndex:
                 whole = self._resolve(rest)
                 if whole not in (None, NONE) and self.region[whole].level in ("nation", "remote"):
                     got = whole if re.fullmatch(r"\W*", main) else None
-        return got or NONE
+        return got
 
     def _resolve(self, text: str) -> str | None:
         """Code, ``none`` if several fit equally well, None if nothing is named."""
@@ -192,6 +258,8 @@ class PlaceIndex:
             for word in {"".join(run), *run}:
                 for k, d in self.near_latin(word).items():
                     near[k] = min(d, near.get(k, 9.0))
+            if not near:
+                near = self.near_tokens(run)
             if provinces:
                 inside = {k: d for k, d in near.items() if any(self.region[c].province in provinces and self.region[c].level == "city" for c in self.codes[k])}
                 near = inside or near
@@ -217,28 +285,49 @@ def _index(regions: tuple[Region, ...]) -> PlaceIndex:
 
 
 def resolver(spark, regions: tuple[Region, ...], remembered: int = 100_000):
-    """Column function: typed value to region code, or ``none``."""
+    """Column function: typed value to region code, or ``none`` (``none:several`` with ``verdicts``)."""
     held = spark.sparkContext.broadcast(regions)
 
-    @F.pandas_udf("string")
-    def resolve(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        one = functools.lru_cache(maxsize=remembered)(_index(held.value).resolve)
-        for s in batches:
-            yield s.map(lambda v: None if v is None else one(v))
+    def column(verdicts: bool = False):
+        @F.pandas_udf("string")
+        def resolve(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            index = _index(held.value)
+            one = functools.lru_cache(maxsize=remembered)(index.verdict)
+            for s in batches:
+                # Each distinct value of a batch once.
+                at, values = pd.factorize(s)
+                found = [one(v) for v in values]
+                codes = [(f"{NONE}:several" if verdicts and x == NONE else x) or NONE for x in found] + [None]
+                yield pd.Series(codes, dtype=object).iloc[at].reset_index(drop=True)
 
-    return resolve
+        return resolve
 
+    return column
 
-def map_places(jobs: DataFrame, regions: DataFrame) -> DataFrame:
-    """``rec_id, field_name, region_code``: the entries each record's fields name."""
-    resolve = resolver(jobs.sparkSession, load_regions(regions))
+
+def typed_values(jobs: DataFrame, regions: DataFrame) -> DataFrame:
+    """``rec_id, field_name, value``: every place typed, nulls and blanks aside."""
     typed = split_field(jobs, "rec_id", "location", region_containers(regions)).select("rec_id", F.lit("location").alias("field_name"), F.col("piece").alias("value"))
     raw = jobs.select("rec_id", F.lit("work_locations_raw").alias("field_name"), F.explode("work_locations_raw").alias("value"))
-    values = typed.unionByName(raw).filter(F.col("value").rlike(r"[^\s　 ]"))
-    return values.select("rec_id", "field_name", resolve("value").alias("region_code")).distinct()
+    return typed.unionByName(raw).filter(F.col("value").rlike(r"[^\s\u3000\u00a0]"))
 
 
-def unmatched_report(jobs: DataFrame, regions: DataFrame) -> DataFrame:
-    """``field_name, records, unmatched``: how many records hold a value that names no entry."""
-    found = map_places(jobs, regions)
-    return found.groupBy("field_name").agg(F.countDistinct("rec_id").alias("records"), F.countDistinct(F.when(F.col("region_code") == NONE, F.col("rec_id"))).alias("unmatched"))
+def map_places(jobs: DataFrame, regions: DataFrame) -> DataFrame:
+    """``rec_id, field_name, region_code``: the entries each record's fields name."""
+    resolve = resolver(jobs.sparkSession, load_regions(regions))()
+    return typed_values(jobs, regions).select("rec_id", "field_name", resolve("value").alias("region_code")).distinct()
+
+
+def unmatched_values(jobs: DataFrame, regions: DataFrame) -> DataFrame:
+    """``field_name, value, reason, records, share``: every value without an entry and in how many records it stands.
+
+    ``reason`` is ``no entry`` or ``several entries``; ``share`` is that of the
+    field's records with any value.
+    """
+    resolve = resolver(jobs.sparkSession, load_regions(regions))(True)
+    values = materialize(typed_values(jobs, regions).select("field_name", "rec_id", "value").distinct())
+    total = values.groupBy("field_name").agg(F.countDistinct("rec_id").alias("_all"))
+    counted = values.groupBy("field_name", "value").agg(F.count("*").alias("records")).withColumn("_c", resolve("value"))
+    reason = F.when(F.col("_c") == NONE, "no entry").otherwise("several entries")
+    missed = counted.filter(F.col("_c").startswith(NONE)).join(F.broadcast(total), "field_name")
+    return missed.select("field_name", "value", reason.alias("reason"), "records", F.round(F.col("records") / F.col("_all"), 6).alias("share"))

@@ -16,7 +16,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_unmatched(spark: SparkSession, d: str) -> DataFrame:
-    return places.unmatched_report(table(spark, d, "jobs"), table(spark, d, "regions"))
+    return places.unmatched_values(table(spark, d, "jobs"), table(spark, d, "regions"))
 
 
 def _names(spark: SparkSession, d: str) -> list[DataFrame]:

@@ -161,3 +161,20 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(links).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 100, 101: 100}
     assert components(links.limit(0)).count() == 0
+
+
+def test_token_set_similarity():
+    regions = (places.Region("0", "nation", None, ("Avaria",)), places.Region("1", "city", "p", ("New Harbor Bay",)), places.Region("2", "city", "q", ("乌兰察布", "乌兰察布市")))
+    index = places.PlaceIndex(regions)
+    want = {"Harbor Bay New": "1", "New Harbour": "1", "bay, new harbr": "1", "New York": None, "乌兰查布": "2", "乌察兰布": "2", "乌兰布": "2", "南方某地": None}
+    assert {v: index.verdict(v) for v in want} == want
+    assert places.token_set_similarity(("new", "york"), ("new", "harbor", "bay")) < places.ALIKE
+    assert places.token_set_similarity((), ("a",)) == 0.0
+
+
+def test_unmatched_values(spark):
+    regions = spark.createDataFrame([("1", "city", "p", "沙坪崖市", "Shapingya", "x", ["沙坪崖"])], "region_code string, level_name string, province_code string, name_zh string, name_en string, label string, aliases array<string>")
+    jobs = spark.createDataFrame([(1, "沙坪崖; Nowhere", ["Elsewhere", None, " "]), (2, "Nowhere", None), (2, "Nowhere", []), (3, None, ["沙坪崖"])], "rec_id long, location string, work_locations_raw array<string>")
+    got = sorted(tuple(r) for r in places.unmatched_values(jobs, regions).collect())
+    assert got == [("location", "Nowhere", "no entry", 2, 1.0), ("work_locations_raw", "Elsewhere", "no entry", 1, 0.5)]
+    assert places.unmatched_values(jobs.limit(0), regions).count() == 0
