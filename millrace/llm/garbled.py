@@ -7,10 +7,17 @@ states are kept by hash.  The search runs on the stretches of a text that look
 foreign, so a single garbled passage in a sound text is found and restored.
 Latin words with East Asian letters in them are searched word by word.
 
+A text that holds escapes (entities, per cent or ``\\u`` sequences), ASCII or
+not, is searched as it stands when they are undone as well; escapes alone
+aren't garbling and are left.
+
 A stretch is garbled if a path with at least one codec move makes it much
 cheaper; replacement characters and their re-decoded remains are garbled
 beyond repair.  Null, empty and sound texts are not found and stay as they
-are.  Texts are judged whole, whatever their length.
+are.  Texts are judged whole, whatever their length; the search of one stretch
+ends after ``EXPANSIONS`` states and ``DEPTH`` moves, cheapest states first, so
+text garbled more than ``DEPTH`` times over is reported as far as a shorter path
+makes it cheaper.
 """
 
 from __future__ import annotations
@@ -153,7 +160,11 @@ def moves(text: str) -> Iterator[tuple[str, bool]]:
         yield got, False
 
 
-def search(text: str, expansions: int = 24, depth: int = 3) -> tuple[str, bool]:
+#: Bounds of the search of one stretch.
+EXPANSIONS, DEPTH = 24, 3
+
+
+def search(text: str, expansions: int = EXPANSIONS, depth: int = DEPTH) -> tuple[str, bool]:
     """Cheapest reachable text, and whether a codec move leads there."""
     start = cost(text)
     best, best_cost, best_codec = text, start, False
@@ -366,15 +377,28 @@ def fix_run(run: str) -> tuple[str, bool]:
     return (parts, True) if taken and (not changed or cost(parts) < cost(whole)) else (whole, changed)
 
 
-def examine(text: str | None) -> tuple[bool, str | None]:
-    """Whether ``text`` holds a garbled stretch, and the text restored as far as it can be."""
-    if not text or text.isascii():
+_EASTERN = re.compile("[Ͱ-ӿ]")
+_ACCENTS = re.compile("[À-ÖØ-öø-ɏ]+")
+
+
+def _between_latin(stretch: str, beside: str) -> str | None:
+    """A Greek or Cyrillic stretch that touches Latin letters and is UTF-8 of accented ones."""
+    if not (_EASTERN.search(stretch) and any(c.isascii() and c.isalpha() for c in beside)):
+        return None
+    read = (_utf8(stretch, codec) for codec in SINGLE)
+    return next((x for x in read if x and _ACCENTS.fullmatch(x)), None)
+
+
+def _examine(text: str) -> tuple[bool, str]:
+    if text.isascii():
         return False, text
     garbled = bool(LOST.search(text))
 
     def fix(m: re.Match) -> str:
         nonlocal garbled
         got, changed = search(m.group())
+        if not changed and (latin := _between_latin(m.group(), text[max(0, m.start() - 1) : m.start()] + text[m.end() : m.end() + 1])):
+            got, changed = latin, True
         garbled |= changed
         return got
 
@@ -397,6 +421,41 @@ def examine(text: str | None) -> tuple[bool, str | None]:
     return garbled, out
 
 
+_ESCAPE = re.compile(r"&(?:#\d{2,7}|#[xX][0-9A-Fa-f]{2,6}|[A-Za-z][A-Za-z0-9]{1,30});|(?:%[0-9A-Fa-f]{2}){2,}|\\u[0-9a-fA-F]{4}")
+#: The same for the JVM, which sends only candidates to Python.
+CANDIDATE = r"[^\x00-\x7f]|&(?:#\d{2,7}|#[xX][0-9A-Fa-f]{2,6}|[A-Za-z][A-Za-z0-9]{1,30});|(?:%[0-9A-Fa-f]{2}){2,}|\\u[0-9a-fA-F]{4}"
+
+
+def _undo(m: re.Match) -> str:
+    escape = m.group()
+    if escape[0] == "&":
+        number = re.fullmatch(r"&#(?:[xX]([0-9A-Fa-f]+)|(\d+));", escape)
+        code = (int(number[1], 16) if number[1] else int(number[2])) if number else -1
+        # Not as browsers do, who read 128 to 159 as another codec's signs.
+        got = chr(code) if 0x80 <= code < 0xA0 else html.unescape(escape)
+        return escape if got == "\ufffd" else got
+    try:
+        return unquote(escape, errors="strict") if escape[0] == "%" else chr(int(escape[2:], 16))
+    except UnicodeDecodeError:
+        return unquote(escape, encoding="latin-1")
+
+
+def examine(text: str | None) -> tuple[bool, str | None]:
+    """Whether ``text`` holds a garbled stretch, and the text restored as far as it can be."""
+    if not text:
+        return False, text
+    garbled, out = _examine(text)
+    opened = out
+    for _ in range(DEPTH):
+        if not _ESCAPE.search(opened):
+            break
+        opened = _ESCAPE.sub(_undo, opened)
+        again, restored = _examine(opened)
+        if again and not (garbled and restored == opened):
+            return True, restored
+    return garbled, out
+
+
 def garbled_fields(df: DataFrame, key: str, fields: tuple[str, ...], remembered: int = 20_000) -> DataFrame:
     """``key, field_name, restored`` of every garbled value of ``fields``."""
 
@@ -404,9 +463,10 @@ def garbled_fields(df: DataFrame, key: str, fields: tuple[str, ...], remembered:
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         one = functools.lru_cache(maxsize=remembered)(examine)
         for s in batches:
-            got = [one(v) if v and not v.isascii() else (False, None) for v in s]
-            yield pd.DataFrame({"garbled": [g for g, _ in got], "restored": [r if g else None for g, r in got]})
+            at, values = pd.factorize(s)
+            got = [*map(one, values), (False, None)]
+            yield pd.DataFrame({"garbled": [got[i][0] for i in at], "restored": [got[i][1] if got[i][0] else None for i in at]})
 
     values = df.select(F.col(key), F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields])).alias("_v")).select(key, "_v.field_name", "_v.value")
-    looked = values.filter(F.col("value").rlike(r"[^\x00-\x7f]")).withColumn("_l", look("value"))
+    looked = values.filter(F.col("value").rlike(CANDIDATE)).withColumn("_l", look("value"))
     return looked.filter("_l.garbled").select(key, "field_name", F.col("_l.restored").alias("restored"))

@@ -68,6 +68,30 @@ def test_garbled_passage_touches_sound_text():
     assert garbled.examine(sound * 9 + "岚渡崖鹭谷湾，") == (False, sound * 9 + "岚渡崖鹭谷湾，")
 
 
+def test_garbled_text_in_escapes():
+    want = {"caf&Atilde;&copy; bar": "café bar", "Ã&copy;t&Atilde;&copy;": "été", "é&#128;&#137;æ&#139;&#169;": "选择", "&#233;&#128;&#137;&#230;&#139;&#169; now": "选择 now", "caf%C3%83%C2%A9": "café", "\\u00c3\\u00a9t\\u00c3\\u00a9": "été"}
+    assert {t: garbled.examine(t) for t in want} == {t: (True, x) for t, x in want.items()}
+    for t in ["caf%C3%A9", "R&amp;D &nbsp; x", "100%25 %20%20", "&bogus; &#0; &#1114112; &#xFFFFFF;", "A &lt;b&gt; c &eacute;", "%FF%FE%C3", "\\ud83d"]:
+        assert garbled.examine(t) == (False, t)
+    read = "采购经理".encode().decode("latin-1")
+    assert garbled.examine(f"R&amp;D {read}") == (True, "R&amp;D 采购经理")
+
+
+def test_restoration_rate():
+    """Share of passages restored to the very original, over codecs and texts; strictly decodable ones only."""
+    rng, right, n = random.Random(4), 0, 0
+    texts = [*CHINESE, "Fachkraft für Zähler und Prüfung", "Área jurídica e produção", "能持续出差并负责高并发票务平台"]
+    for _ in range(400):
+        text, codec = rng.choice(texts), rng.choice(["latin-1", "cp1252", "gbk", "mac_roman", "cp1251"])
+        try:
+            read = text.encode().decode(codec)
+        except UnicodeDecodeError:
+            continue
+        n += 1
+        right += garbled.examine(read) == (True, text)
+    assert n > 150 and right / n >= 0.97, (right, n)
+
+
 def test_garbled_fields(spark):
     rows = [(1, "采购经理".encode().decode("latin-1"), "fine", "x"), (2, None, "", "x"), (3, "ok", "两段。" + "能持续出差".encode().decode("latin-1") + "。好", None), (3, "ok", "x", "x")]
     df = spark.createDataFrame(rows, "rec_id long, title string, description string, field_name string")
