@@ -5,12 +5,13 @@ limits on tokens, segments and loss-bearing tokens; the open container takes,
 again and again, the item that fits and whose size vector has the largest
 weighted dot product with what is left, until none fits.
 
-Items are spread over independent groups by a hash of their id; a group's
-last, half-empty container is the only one its split costs, so groups of
-``group_items`` items lose well under one percent.  A text longer than the
-capacity is cut into full pieces (containers of their own) and a remainder;
-nothing else is split.  Null and empty texts take no part.  Ties go to the
-smaller id; repeated rows are packed each for itself.
+Items are spread over independent groups by a hash of their id and place, so
+rows without an id spread as well; a group's last, half-empty container is the
+only one its split costs, so groups of ``group_items`` items lose well under one
+percent.  A text longer than the capacity is cut into full pieces and a
+remainder, each with its own loss-bearing tokens; nothing else is split.  Null
+and empty texts take no part.  Ties go to the smaller id; repeated rows are
+packed each for itself.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.tokenize import Tokenizer, count_tokens
+from millrace.llm.tokenize import Tokenizer, token_pieces
 
 
 @dataclass(frozen=True)
@@ -31,10 +32,14 @@ class Limits:
     """Capacity of a container in each dimension."""
 
     tokens: int = 4096
-    segments: int = 256
+    segments: int = 32
     loss_tokens: int = 4096
 
 
+#: For instruction data: few segments, and room for the questions that bear no loss.
+INSTRUCTION = Limits(4096, 16, 2560)
+
+
 def pack(sizes: np.ndarray, limits: np.ndarray) -> np.ndarray:
     """Container number of each row of ``sizes`` (items x dimensions).
 
@@ -72,21 +77,8 @@ def pack(sizes: np.ndarray, limits: np.ndarray) -> np.ndarray:
 def pack_corpus(documents: DataFrame, limits: Limits = Limits(), tokenizer: Tokenizer = Tokenizer(), id_col: str = "doc_id", text_col: str = "text", kind_col: str | None = "doc_kind", group_items: int = 5_000) -> DataFrame:
     """``doc_id, part_no, start_token, tokens, loss_tokens, container_id``: one row per placed piece."""
     groups = max(1, math.ceil(documents.count() / group_items))
-    counted = count_tokens(documents, tokenizer, id_col, text_col, kind_col)
-    cap = limits.tokens
-    parts = counted.select(
-        "doc_id",
-        F.explode(F.sequence(F.lit(0), F.floor((F.col("tokens") - 1) / cap).cast("int"))).alias("part_no"),
-        F.col("tokens").alias("whole"),
-        F.col("loss_tokens").alias("whole_loss"),
-    ).select(
-        "doc_id",
-        "part_no",
-        (F.col("part_no") * cap).cast("long").alias("start_token"),
-        F.least(F.lit(cap), F.col("whole") - F.col("part_no") * cap).cast("long").alias("tokens"),
-        F.floor(F.col("whole_loss") * F.least(F.lit(cap), F.col("whole") - F.col("part_no") * cap) / F.col("whole")).cast("long").alias("loss_tokens"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("grp"),
-    )
+    pieces = token_pieces(documents, limits.tokens, limits.loss_tokens, tokenizer, id_col, text_col, kind_col)
+    parts = pieces.withColumn("grp", F.pmod("place", F.lit(groups)).cast("int"))
     bounds = np.array([limits.tokens, limits.segments, limits.loss_tokens])
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -95,11 +87,18 @@ def pack_corpus(documents: DataFrame, limits: Limits = Limits(), tokenizer: Toke
         number = pack(sizes, bounds)
         return pd.DataFrame({**{c: pdf[c] for c in ("doc_id", "part_no", "start_token", "tokens", "loss_tokens")}, "container_id": [f"{g}-{n}" for g, n in zip(pdf["grp"], number)]})
 
-    return parts.groupBy("grp").applyInPandas(place, "doc_id long, part_no int, start_token long, tokens long, loss_tokens long, container_id string")
+    # A number of partitions that is asked for isn't merged again: few groups still make several tasks.
+    spread = parts.repartition(min(groups, max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "grp")
+    return spread.groupBy("grp").applyInPandas(place, "doc_id long, part_no int, start_token long, tokens long, loss_tokens long, container_id string")
 
 
 def container_report(packed: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``containers, tokens, fill``: how full the containers came out."""
-    return packed.agg(F.countDistinct("container_id").alias("containers"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")).withColumn(
-        "fill", F.when(F.col("containers") > 0, F.col("tokens") / (F.col("containers") * limits.tokens)).otherwise(F.lit(0.0))
+    """``containers, tokens, fill``, and of how many containers the segments or the loss-bearing tokens are at their limit."""
+    each = packed.groupBy("container_id").agg(F.sum("tokens").alias("t"), F.count("*").alias("s"), F.sum("loss_tokens").alias("l"))
+    return each.agg(
+        F.count("*").alias("containers"),
+        F.coalesce(F.sum("t"), F.lit(0)).alias("tokens"),
+        F.coalesce(F.round(F.avg(F.col("t") / limits.tokens), 6), F.lit(0.0)).alias("fill"),
+        F.count_if(F.col("s") >= limits.segments).alias("full_segments"),
+        F.count_if(F.col("l") >= 0.99 * limits.loss_tokens).alias("full_loss"),
     )

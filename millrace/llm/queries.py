@@ -81,6 +81,19 @@ def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.container_report(packing.pack_corpus(table(spark, d, "documents")))
 
 
+def _instructions(spark: SparkSession, d: str) -> DataFrame:
+    """The questions and answers, the part of the corpus with tokens that bear no loss."""
+    return packing.pack_corpus(table(spark, d, "documents").filter("doc_kind = 'faq'"), packing.INSTRUCTION)
+
+
+def p9_instruct(spark: SparkSession, d: str) -> DataFrame:
+    return _instructions(spark, d)
+
+
+def p9_instruct_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_report(_instructions(spark, d), packing.INSTRUCTION)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetition(table(spark, d, "documents"), exact=False).filter("repetitive").select("doc_id").distinct()
 
@@ -94,7 +107,7 @@ def p10_risk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_classes, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p10_found, p10_share, p10_risk)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_classes, p4_found, p4_shares, p5_found, p5_groups, p7_found, p7_restored, p8_ids, p8_roundtrip, p9_pack, p9_fill, p9_instruct, p9_instruct_fill, p10_found, p10_share, p10_risk)}
 
 
 def oracle_sql() -> dict[str, str]:

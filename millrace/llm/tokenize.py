@@ -25,7 +25,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.session import materialize
 
@@ -146,42 +145,100 @@ def encode_corpus(documents: DataFrame, tokenizer: Tokenizer = Tokenizer(), id_c
 
 
 def token_bytes(documents: DataFrame, tokenizer: Tokenizer = Tokenizer()) -> DataFrame:
-    """The token-byte table ``id, hex``: as many rows as the vocabulary has."""
-    rows = [(rank, token.hex()) for token, rank in load_ranks(tokenizer.ranks_path).items()]
-    return documents.sparkSession.createDataFrame(rows, "id int, hex string")
+    """The token-byte table ``id, bytes``: as many rows as the vocabulary has."""
+    rows = [(rank, bytearray(token)) for token, rank in load_ranks(tokenizer.ranks_path).items()]
+    return documents.sparkSession.createDataFrame(rows, "id int, bytes binary")
 
 
-def decode_corpus(encoded: DataFrame, tokenizer: Tokenizer = Tokenizer(), ids_col: str = "ids") -> DataFrame:
-    """Adds ``text``: the token bytes of ``ids`` joined and read as UTF-8.
+def _cut_ids(block_docs: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32, 0
+        names, id_list = ["block", "doc_id", "seq", "slot", "id"], pa.list_(pa.int32())
+        for batch in batches:
+            for start in range(0, batch.num_rows, block_docs):
+                part = batch.slice(start, block_docs)
+                lists = part.column(1)
+                flat = lists.flatten().to_numpy(zero_copy_only=False)
+                known, slots = np.unique(flat, return_inverse=True) if len(flat) else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+                lens = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+                seqs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), pa.array(slots.astype(np.int32)))
+                n, m, block = part.num_rows, len(known), base + number
+                number += 1
+                yield pa.RecordBatch.from_arrays([pa.array([block] * n, pa.int64()), part.column(0).cast(pa.int64()), seqs, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32())], names)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, id_list), pa.array(np.arange(m, dtype=np.int32)), pa.array(known.astype(np.int32))], names)
+
+    return cut
+
+
+def _join_bytes(docs: pa.Table, words: pa.Table) -> pa.Table:
+    table = _one_chunk(words.sort_by("slot").column("bytes")).to_pylist()
+    texts = [b"".join([table[i] for i in seq]).decode("utf-8", "replace") for seq in docs.column("seq").to_pylist()]
+    return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array(texts, pa.string())})
 
-    The vocabulary is of fixed size, so its byte table is carried as one
-    broadcast row; no document is exploded or shuffled.
+
+def decode_corpus(encoded: DataFrame, tokenizer: Tokenizer = Tokenizer(), id_col: str = "doc_id", ids_col: str = "ids", block_docs: int = 4000) -> DataFrame:
+    """``doc_id, text``: the token bytes of ``ids`` joined and read as UTF-8.
+
+    As in encoding, a block of documents asks for each of its tokens once; the
+    asked ids join the token-byte table and the bytes return to their block.
+    Empty and null ids give the empty text; an id outside the vocabulary is an
+    error.
     """
-    byte_table = token_bytes(encoded, tokenizer).agg(F.array_sort(F.collect_list(F.struct("id", "hex"))).alias("t")).select(F.transform("t", lambda x: x["hex"]).alias("_hex"))
-    joined = encoded.crossJoin(F.broadcast(byte_table))
-    hexed = F.array_join(F.transform(F.col(ids_col), lambda i: F.get(F.col("_hex"), i)), "")
-    return joined.withColumn("text", F.decode(F.unhex(hexed), "UTF-8")).drop("_hex")
+    cut = materialize(encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(_cut_ids(block_docs), "block long, doc_id long, seq array<int>, slot int, id int"))
+    found = cut.filter("slot IS NOT NULL").select("block", "slot", "id").join(token_bytes(encoded, tokenizer), "id", "left")
+    checked = found.select(F.col("block").alias("of"), "slot", F.coalesce("bytes", F.raise_error(F.concat(F.lit("no token "), F.col("id").cast("string"))).cast("binary")).alias("bytes"))
+    docs = cut.filter("slot IS NULL").select("block", "doc_id", "seq")
+    return docs.groupBy("block").cogroup(checked.groupBy("of")).applyInArrow(_join_bytes, "doc_id long, text string")
+
+
+PIECE_SCHEMA = "doc_id long, place long, part_no int, start_token long, tokens long, loss_tokens long"
+_QUESTION = ("Q:", "问：")
+
+
+def _bears_loss(text: str, lengths: list[int]) -> np.ndarray:
+    """Which tokens of a question-and-answer text begin outside its question lines."""
+    starts = np.cumsum([0, *lengths[:-1]])
+    out, at = np.ones(len(lengths), bool), 0
+    for line in text.split("\n"):
+        end = at + len(line.encode("utf-8", "replace"))
+        if line.startswith(_QUESTION):
+            out[(starts >= at) & (starts <= end)] = False
+        at = end + 1
+    return out
+
+
+def pieces_of(n: int, loss: np.ndarray | None, tokens: int, loss_tokens: int) -> Iterator[tuple[int, int, int]]:
+    """``start, tokens, loss``: the fewest pieces of ``n`` tokens within both limits; one if the whole is."""
+    bearing = np.arange(n + 1) if loss is None else np.concatenate([[0], np.cumsum(loss)])
+    start = 0
+    while start < n:
+        end = min(n, start + tokens, int(np.searchsorted(bearing, bearing[start] + loss_tokens, "right")) - 1)
+        yield start, end - start, int(bearing[end] - bearing[start])
+        start = end
 
 
-def count_tokens(documents: DataFrame, tokenizer: Tokenizer = Tokenizer(), id_col: str = "doc_id", text_col: str = "text", kind_col: str | None = None) -> DataFrame:
-    """``doc_id, tokens, loss_tokens`` of every non-empty text.
+def token_pieces(documents: DataFrame, tokens: int, loss_tokens: int, tokenizer: Tokenizer = Tokenizer(), id_col: str = "doc_id", text_col: str = "text", kind_col: str | None = None) -> DataFrame:
+    """``doc_id, place, part_no, start_token, tokens, loss_tokens`` of the pieces of every non-empty text, one unless it exceeds a limit.
 
-    Loss-bearing tokens are those outside the question lines of
-    question-and-answer texts (``Q:``/``问：`` lines when ``kind_col`` is
-    ``faq``); of every other text all tokens bear loss.
+    Loss-bearing tokens are counted in each piece: those that begin outside the
+    question lines of question-and-answer texts (``kind_col`` is ``faq``); of
+    every other text all tokens bear loss.  ``place`` spreads the rows, also
+    those without an id or with an equal one.
     """
     kind = F.col(kind_col) if kind_col else F.lit(None).cast("string")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(tokenizer).encode_ordinary
+        size = {rank: len(token) for token, rank in load_ranks(tokenizer.ranks_path).items()}
         for batch in batches:
-            total, loss = [], []
-            for text, what in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                n = len(one(text))
-                asked = sum(len(one(x)) for x in text.split("\n") if x.startswith(("Q:", "问："))) if what == "faq" else 0
-                total.append(n)
-                loss.append(max(0, n - asked))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(loss, pa.int64())], ["doc_id", "tokens", "loss_tokens"])
-
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("loss_tokens", T.LongType())])
-    return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), kind.alias("kind")).filter(F.length("text") > 0).mapInArrow(count, schema)
+            rows: list[tuple] = []
+            for doc, place, text, what in zip(*(c.to_pylist() for c in batch.columns)):
+                ids = one(text)
+                loss = _bears_loss(text, [size[i] for i in ids]) if what == "faq" else None
+                rows += [(doc, place, number, *piece) for number, piece in enumerate(pieces_of(len(ids), loss, tokens, loss_tokens))]
+            columns = list(zip(*rows)) or [()] * 6
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["doc_id", "place", "part_no", "start_token", "tokens", "loss_tokens"])
+
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), kind.alias("kind")).filter(F.length("text") > 0)
+    return rows.select("doc_id", F.xxhash64("doc_id", F.monotonically_increasing_id()).alias("place"), "text", "kind").mapInArrow(count, PIECE_SCHEMA)

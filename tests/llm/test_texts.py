@@ -113,6 +113,25 @@ def test_encoding_equals_library_and_round_trips(spark):
     assert tokenize.encode_corpus(df.limit(0)).count() == 0
 
 
+def test_loss_is_counted_in_each_piece():
+    loss = np.array([0] * 30 + [1] * 50 + [0] * 20, bool)
+    assert list(tokenize.pieces_of(100, None, 40, 40)) == [(0, 40, 40), (40, 40, 40), (80, 20, 20)]
+    assert list(tokenize.pieces_of(100, loss, 100, 60)) == [(0, 100, 50)]
+    assert list(tokenize.pieces_of(100, loss, 100, 20)) == [(0, 50, 20), (50, 20, 20), (70, 30, 10)]
+    text = "Q: who are you?\n\nA: a clerk\n问：几点"
+    one = tokenize.encoder(tokenize.Tokenizer()).encode
+    lengths = [len(tokenize.encoder(tokenize.Tokenizer()).decode_single_token_bytes(i)) for i in one(text)]
+    begins = np.cumsum([0, *lengths[:-1]])
+    answer = (begins > text.index("\n")) & (begins < len(text.split("问")[0].encode()))
+    assert (tokenize._bears_loss(text, lengths) == answer).all()
+
+
+def test_pack_without_ids(spark):
+    df = spark.createDataFrame([(None, "same text", "faq", i) for i in range(50)] + [(1, None, None, 0), (2, "", "faq", 0)], "doc_id long, text string, doc_kind string, tokens int")
+    rows = packing.pack_corpus(df, packing.Limits(10, 3, 10), group_items=10).collect()
+    assert len(rows) == 50 and len({r["container_id"].split("-")[0] for r in rows}) > 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 100), st.integers(0, 100)), max_size=60))
 def test_pack_respects_limits(items):
