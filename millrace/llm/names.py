@@ -2,24 +2,30 @@
 
 Every distinct text is rewritten into its canonical forms: legal form and
 place dropped, scripts and widths folded, line of business brought to its full
-word, words reordered, joined or reduced to an initial, letters left out.  The
-forms are exploded and equi-joined; a form links the spellings that share it
-only as far as it is rare: plain rewritings always, misspellings towards the
-most frequent spelling of the form, forms that drop something telling (the
-line of business, a first name) only if all that share it otherwise are one
-employer.  A listed name and its aliases are one employer.
-
-Links are stars around one spelling per form, so no form makes all pairs; the
-pairs of the result come from the final classes.  Null and blank texts take no
-part; equal texts count once; texts without any telling part stay alone.
+word, nicknames replaced, words reordered, joined, reduced to an initial or to
+the acronym, letters left out.  The forms are exploded and equi-joined; a form
+links the spellings that share it only as far as it is rare: plain rewritings
+always, misspellings towards the most frequent spelling of the form, forms that
+drop something telling (the line of business, a first name) only if all that
+share it otherwise are one employer.  Of several such employers the one with
+the highest score wins, the score being the rarity of the form (the logarithm
+of all spellings over those that share it), if it leads by ``LEAD``.  A listed
+name and its aliases are one employer; nickname rules are learnt from listed
+names whose alias differs in one word.
+
+Links are stars around one spelling per form, so no form makes all pairs and no
+form's spellings are gathered in one row; the pairs of the result come from the
+final classes.  Null and blank texts take no part; equal texts count once;
+texts without any telling part stay alone.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -43,12 +49,21 @@ ENDING_SHARE = 0.004
 DOMINANT = 4
 
 
+#: By how much the score of a form that drops something must exceed that of any other employer's.
+LEAD = math.log(2)
+#: What each letter or word a form leaves open costs.
+OPEN = 50.0
+#: Members of an employer that one task pairs with another such part.
+PART = 2000
+
+
 @dataclass(frozen=True)
 class Lexicon:
     places_han: tuple[str, ...]
     places_latin: frozenset[str]
     lines_han: tuple[str, ...]
     lines_latin: tuple[str, ...]
+    nicknames: tuple[tuple[str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -164,8 +179,29 @@ def _deletions(word: str, most: int) -> set[str]:
     return out
 
 
-def forms(p: Parsed) -> Iterator[tuple[str, str]]:
+def nickname_rule(name: Parsed, alias: Parsed) -> tuple[str, str] | None:
+    """The word of ``alias`` that stands for a word of ``name``, if they differ in just that."""
+    short, full = set(alias.core) - set(name.core), set(name.core) - set(alias.core)
+    if name.script == alias.script == "e" and name.line == alias.line and len(name.core) == len(alias.core) > 1 and len(short) == len(full) == 1:
+        nick, word = short.pop(), full.pop()
+        return (nick, word) if len(nick) > 1 and len(word) > 1 else None
+    return None
+
+
+def acronym(p: Parsed) -> str:
+    """First letters of the words in order of the alphabet, with the line of business."""
+    return "".join(sorted(w[0] for w in (*p.core, *([p.line] if p.line else []))))
+
+
+def forms(p: Parsed, nicknames: dict[str, set[str]] | None = None, shown: str = "") -> Iterator[tuple[str, str]]:
     """``kind, form``: ``x`` plain rewritings, ``t`` misspellings, ``w`` forms that drop something telling."""
+    for i, word in enumerate(p.core if nicknames and len(p.core) > 1 else ()):
+        for full in nicknames.get(word, ()):
+            yield "x", f"e={' '.join(sorted((*p.core[:i], full, *p.core[i + 1 :])))}|{p.line}"
+    if p.script == "e" and is_full(p) and len(p.core) > 1:
+        yield "w", f"e#{acronym(p)}"
+    elif len(p.core) == 1 and not p.line and re.fullmatch(r"(?:[A-Z]\.?){3,5}", shown.strip()):
+        yield "w", f"e#{''.join(sorted(p.core[0]))}"
     if p.script == "z":
         (core,) = p.core
         yield "x", f"z={core}|{p.line}"
@@ -243,14 +279,33 @@ def _lexicon(names: DataFrame, regions: DataFrame, targets: DataFrame, max_lines
     return Lexicon(tuple(han), latin, ends_han, lines)
 
 
+def _with_nicknames(known: DataFrame, lex: Lexicon, max_rules: int = 100_000) -> Lexicon:
+    """``lex`` with the rules that the list of aliases gives; more than ``max_rules`` are an error."""
+    held = known.sparkSession.sparkContext.broadcast(lex)
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rules = {r for name, alias in zip(pdf["name"], pdf["alias"]) for x in parse(name, held.value) for y in parse(alias, held.value) if (r := nickname_rule(x, y))}
+            yield pd.DataFrame(sorted(rules), columns=["nick", "word"])
+
+    rows = known.mapInPandas(learn, "nick string, word string").distinct().limit(max_rules + 1).collect()
+    if len(rows) > max_rules:
+        raise ValueError(f"more than {max_rules} nickname rules")
+    return replace(lex, nicknames=tuple(sorted((r["nick"], r["word"]) for r in rows)))
+
+
 def name_classes(jobs: DataFrame, sources: DataFrame, targets: DataFrame, regions: DataFrame) -> DataFrame:
     """``text, listed, employer``: the class of every distinct text."""
     names, known = _distinct_names(jobs, sources, targets)
-    held = jobs.sparkSession.sparkContext.broadcast(_lexicon(names, regions, targets))
+    known = materialize(known)
+    held = jobs.sparkSession.sparkContext.broadcast(_with_nicknames(known, _lexicon(names, regions, targets)))
     schema = T.StructType.fromDDL("text string, n long, listed boolean, key string, full boolean, place string, kind string, form string")
 
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lex = held.value
+        nicknames: dict[str, set[str]] = {}
+        for nick, word in lex.nicknames:
+            nicknames.setdefault(nick, set()).add(word)
         for pdf in batches:
             rows = []
             for text, n, listed in zip(pdf["text"], pdf["n"], pdf["listed"]):
@@ -258,7 +313,7 @@ def name_classes(jobs: DataFrame, sources: DataFrame, targets: DataFrame, region
                 for p in readings:
                     full = is_full(p) and len(readings) == 1
                     key = p.key if len(readings) == 1 else f"?|{' '.join(p.core)}|{'/'.join(x.line for x in readings)}"
-                    for kind, form in set(forms(p)):
+                    for kind, form in set(forms(p, nicknames, text)):
                         rows.append((text, n, listed, key, full, p.place, "w" if len(readings) > 1 else kind, form))
             yield pd.DataFrame(rows, columns=schema.names)
 
@@ -266,36 +321,54 @@ def name_classes(jobs: DataFrame, sources: DataFrame, targets: DataFrame, region
     texts = rewritten.select("text", "n", "listed", "key", "full", "place").distinct()
     classes = materialize(texts.groupBy("key").agg(F.sum("n").alias("n"), F.max("full").alias("full"), F.collect_set(F.when(F.col("place") != "", F.col("place"))).alias("places")))
     per_form = materialize(rewritten.select("kind", "form", "key").distinct().join(classes, "key"))
-    hub = F.max_by("key", F.struct("n", "key"))
-    # Plain rewritings.
-    plain = per_form.filter("kind = 'x'").groupBy("form").agg(hub.alias("b"), F.collect_set("key").alias("ks")).filter(F.size("ks") > 1).select(F.explode("ks").alias("a"), "b")
+    top = F.struct("n", "key")
+    # Plain rewritings: all spellings of a form go with its most frequent one.
+    plain = per_form.filter("kind = 'x'")
+    hubs = plain.groupBy("form").agg(F.max_by("key", top).alias("b"), F.count("*").alias("m")).filter("m > 1")
+    plain = plain.join(hubs, "form").filter("key <> b").select(F.col("key").alias("a"), "b")
     # Misspellings, towards the most frequent spelling of the form.
-    typo = per_form.filter("kind = 't'").groupBy("form").agg(hub.alias("b"), F.max_by(F.struct("n", "places"), F.struct("n", "key")).alias("h"), F.collect_list(F.struct("key", "n", "places")).alias("ks")).filter(F.size("ks") > 1)
-    typo = typo.select("form", "b", "h", F.explode("ks").alias("k")).filter(F.col("k.key") != F.col("b"))
-    apart = (F.size("k.places") > 0) & (F.size("h.places") > 0) & ~F.arrays_overlap("k.places", "h.places")
-    agree = F.arrays_overlap("k.places", "h.places") | (F.size("k.places") == 0) | (F.col("h.n") >= DOMINANT * F.col("k.n"))
-    misspelt = typo.filter(F.when(F.col("form").startswith("z"), F.coalesce(~apart, F.lit(True)) & F.coalesce(agree | F.col("form").startswith("z~"), F.lit(False))).otherwise(True)).select(F.col("k.key").alias("a"), "b")
+    typo = per_form.filter("kind = 't'").select("form", "key", "n", "places")
+    hubs = typo.groupBy("form").agg(F.max_by("key", top).alias("b"), F.max_by(F.struct("n", "places"), top).alias("h"), F.count("*").alias("m")).filter("m > 1")
+    typo = typo.join(hubs, "form").filter("key <> b")
+    apart = (F.size("places") > 0) & (F.size("h.places") > 0) & ~F.arrays_overlap("places", "h.places")
+    agree = F.arrays_overlap("places", "h.places") | (F.size("places") == 0) | (F.col("h.n") >= DOMINANT * F.col("n"))
+    misspelt = typo.filter(F.when(F.col("form").startswith("z"), F.coalesce(~apart, F.lit(True)) & F.coalesce(agree | F.col("form").startswith("z~"), F.lit(False))).otherwise(True)).select(F.col("key").alias("a"), "b")
     # Listed names and their aliases.
     of = texts.select("text", "key").distinct()
     listed = known.join(of.select(F.col("text").alias("name"), F.col("key").alias("a")), "name").join(of.select(F.col("text").alias("alias"), F.col("key").alias("b")), "alias").select("a", "b")
-    firm = materialize(plain.unionByName(misspelt).unionByName(listed).distinct())
-    first = components(firm)
-    labelled = per_form.join(first.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    firm = components(plain.unionByName(misspelt).unionByName(listed).distinct())
+    labelled = materialize(per_form.join(firm.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("component", F.coalesce("component", "key")))
+    weak_forms = labelled.filter("kind = 'w'")
     # Forms that drop something: only if all full spellings that share it are one employer.
-    strong = labelled.filter("full").groupBy("form").agg(F.countDistinct("component").alias("employers"), F.min("component").alias("b")).filter("employers = 1")
-    weak = labelled.filter("kind = 'w' AND NOT full").join(strong, "form").select(F.col("key").alias("a"), "b", F.when(F.col("form").contains("~") | F.col("form").startswith("e."), 1).otherwise(0).alias("loose"))
-    # An exact form decides before a loose one; several employers at the same rank link nothing.
-    ranked = weak.groupBy("a").agg(F.min("loose").alias("loose")).join(weak, ["a", "loose"]).groupBy("a").agg(F.countDistinct("b").alias("m"), F.min("b").alias("b")).filter("m = 1").select("a", "b")
+    total = classes.count()
+    shared = weak_forms.groupBy("form").agg(F.count("*").alias("m"), F.countDistinct(F.when(F.col("full"), F.col("component"))).alias("employers"), F.min(F.when(F.col("full"), F.col("component"))).alias("b"))
+    score = F.log(F.lit(float(max(total, 1))) / F.col("m")) - F.when(F.col("form").contains("~") | F.col("form").startswith("e.") | F.col("form").startswith("e#"), OPEN).otherwise(0.0)
+    strong = shared.filter("employers = 1").select("form", "b", score.alias("score"))
+    weak = weak_forms.filter("NOT full").join(strong, "form").groupBy("key", "b").agg(F.max("score").alias("score"))
+    best = weak.groupBy("key").agg(F.max(F.struct("score", "b")).alias("best"))
+    rivals = weak.join(best, "key").filter((F.col("b") != F.col("best.b")) & (F.col("score") > F.col("best.score") - LEAD)).select("key").distinct()
+    ranked = best.join(rivals, "key", "left_anti").select(F.col("key").alias("a"), F.col("best.b").alias("b"))
     # Spellings without a full counterpart are one employer if they are equal but for what they drop.
-    bare = labelled.filter("kind = 'w' AND NOT full").join(strong.select("form"), "form", "left_anti").filter(F.col("form").startswith("e-") | F.col("form").startswith("z-"))
-    clash = labelled.filter("full").select("form").distinct()
-    bare = bare.join(clash, "form", "left_anti").groupBy("form").agg(F.max_by("key", F.struct("n", "key")).alias("b"), F.collect_set("key").alias("ks")).filter(F.size("ks") > 1).select(F.explode("ks").alias("a"), "b")
-    labels = components(firm.unionByName(ranked).unionByName(bare).distinct())
-    return texts.select("text", "listed", "key").join(labels.select(F.col("node").alias("key"), "component"), "key", "left").groupBy("text", "listed").agg(F.min(F.coalesce("component", "key")).alias("employer"))
+    bare = weak_forms.filter("NOT full AND (form LIKE 'e-%' OR form LIKE 'z-%')").join(shared.filter("employers = 0").select("form"), "form")
+    hubs = bare.groupBy("form").agg(F.max_by("key", top).alias("b"), F.count("*").alias("m")).filter("m > 1")
+    bare = bare.join(hubs, "form").filter("key <> b").select(F.col("key").alias("a"), "b")
+    # The later links are drawn between the employers found so far, so their graph is small.
+    label = classes.select("key").join(firm.select(F.col("node").alias("key"), "component"), "key", "left").select("key", F.coalesce("component", "key").alias("component"))
+    ends = ranked.unionByName(bare).distinct().join(label.select(F.col("key").alias("a"), F.col("component").alias("ca")), "a").join(label.select(F.col("key").alias("b"), F.col("component").alias("cb")), "b")
+    later = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    final = label.join(later.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left").select("key", F.coalesce("whole", "component").alias("component"))
+    return texts.select("text", "listed", "key").join(final, "key").groupBy("text", "listed").agg(F.min("component").alias("employer"))
 
 
 def name_pairs(jobs: DataFrame, sources: DataFrame, targets: DataFrame, regions: DataFrame) -> DataFrame:
-    """``name_a, name_b``, by code point: every pair of different texts of one employer."""
-    classes = materialize(name_classes(jobs, sources, targets, regions).filter("listed").select("text", "employer"))
-    x, y = classes.select("employer", F.col("text").alias("name_a")), classes.select("employer", F.col("text").alias("name_b"))
-    return x.join(y, "employer").filter("name_a < name_b").select("name_a", "name_b")
+    """``name_a, name_b``, by code point: every pair of different texts of one employer.
+
+    An employer with very many spellings is paired part by part.
+    """
+    classes = name_classes(jobs, sources, targets, regions).filter("listed").select("text", "employer")
+    classes = materialize(classes)
+    size = classes.groupBy("employer").agg(F.count("*").alias("n")).filter("n > 1").select("employer", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    placed = classes.join(size, "employer").withColumn("part", F.pmod(F.xxhash64("text"), F.col("parts")).cast("int"))
+    x = placed.select("employer", "part", F.col("text").alias("name_a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    y = placed.select("employer", F.col("part").alias("other"), F.col("text").alias("name_b"))
+    return x.join(y, ["employer", "other"]).filter("name_a < name_b").select("name_a", "name_b")

@@ -178,3 +178,20 @@ def test_unmatched_values(spark):
     got = sorted(tuple(r) for r in places.unmatched_values(jobs, regions).collect())
     assert got == [("location", "Nowhere", "no entry", 2, 1.0), ("work_locations_raw", "Elsewhere", "no entry", 1, 0.5)]
     assert places.unmatched_values(jobs.limit(0), regions).count() == 0
+
+
+def test_nicknames_and_acronyms(spark):
+    companies = ["Robert Miller Logistics GmbH", "Robert Stone Shipping Inc.", "Bob Stone Shipping", "Hafkar Hubal Tourism Group", "HHT", "H.H.T.", "Rabid Sonar Shipping", "RSS", None, " "]
+    jobs = spark.createDataFrame([(c,) for c in companies], "company string")
+    targets = spark.createDataFrame([("Robert Miller Logistics GmbH", "Logistics", ["Bob Miller Logistics"]), (None, "Shipping", None), ("Oma Tours", "Tourism", [None])], "name string, industry string, aliases array<string>")
+    got = {tuple(r) for r in names.name_pairs(jobs, spark.createDataFrame([], "name string"), targets, _regions(spark)).collect()}
+    # Two employers have the acronym RSS, so it names neither.
+    assert got == {("Bob Stone Shipping", "Robert Stone Shipping Inc."), ("HHT", "Hafkar Hubal Tourism Group"), ("H.H.T.", "Hafkar Hubal Tourism Group"), ("H.H.T.", "HHT")}
+
+
+def test_many_spellings_are_paired_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(names, "PART", 3)
+    shown = ["Pazlez Vimlul Textiles", "pazlez vimlul textiles", "PAZLEZ VIMLUL TEXTILES", "Vimlul Pazlez Textiles", "Pazlez Vimlul Textiles GmbH", "Pazlez-Vimlul Textiles", "Textiles, Pazlez Vimlul"]
+    jobs = spark.createDataFrame([(c,) for c in shown], "company string")
+    targets = spark.createDataFrame([("x", "Textiles", [])], "name string, industry string, aliases array<string>")
+    assert names.name_pairs(jobs, spark.createDataFrame([], "name string"), targets, _regions(spark)).count() == 7 * 6 // 2
