@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,12 +50,9 @@ def is_stop(token: str) -> bool:
     return token in _STOP or token[0] == "…" or token[0] == "<"
 
 
-def fold_number(token: str) -> str:
-    return "#" if token.isdigit() else token.casefold()
-
-
 def tokens_of(text: str) -> list[str]:
-    return [fold_number(t) for t in _TOKEN.findall(text)]
+    """Words, single Chinese or Japanese characters and signs, case folded; numbers are all one."""
+    return ["#" if t[0].isdigit() and t.isdigit() else t for t in _TOKEN.findall(text.casefold())]
 
 
 def is_unit(token: str) -> bool:
@@ -112,47 +110,46 @@ def final_keys(tokens: list[str]) -> list[tuple[str, str]]:
 
 
 class Counts:
-    """Sentence-end counts of one task."""
+    """Sentence-end counts of one task, by kind of key."""
 
     def __init__(self) -> None:
-        self.total: Counter = Counter()
-        self.end: Counter = Counter()
-        self.mark: Counter = Counter()
+        self.total, self.end, self.mark = ({k: Counter() for k in "wbse"} for _ in range(3))
+
+    def __len__(self) -> int:
+        return sum(map(len, self.total.values()))
 
     def add(self, tokens: list[str], mark: str) -> None:
         total, end = self.total, self.end
-        total.update(("w", t) for t in tokens if is_unit(t))
-        total.update(("b", f"{a} {b}") for a, b in zip(tokens, tokens[1:]) if is_unit(a) and is_unit(b))
+        unit = [is_unit(t) for t in tokens]
+        total["w"].update([t for t, u in zip(tokens, unit) if u])
+        total["b"].update([f"{a} {b}" for a, b, u, v in zip(tokens, tokens[1:], unit, unit[1:]) if u and v])
         begin = 0
         n = len(tokens)
-        for i in range(n + 1):
-            stop = i == n or is_stop(tokens[i])
-            if not (stop or tokens[i] in _PAUSE):
-                continue
-            clause = tokens[begin:i]
-            begin = i + 1
-            if clause and is_unit(clause[-1]):
+        breaks = [i for i, (t, u) in enumerate(zip(tokens, unit)) if not u and (t in _PAUSE or is_stop(t))]
+        for i in (*breaks, n):
+            stop = i == n or tokens[i] not in _PAUSE
+            first, begin = begin, i + 1
+            if first < i and unit[i - 1]:
                 marked = bool(mark) if i == n else tokens[i][0] == "…"
-                keys = [("w", clause[-1])]
-                if len(clause) > 1 and is_unit(clause[-2]):
-                    keys.append(("b", f"{clause[-2]} {clause[-1]}"))
-                if marked:
-                    self.mark.update(keys)
-                if stop and not (marked and i == n):
-                    end.update(keys)
-                units = [t for t in clause if is_unit(t)]
+                last, pair = tokens[i - 1], f"{tokens[i - 2]} {tokens[i - 1]}" if i - first > 1 and unit[i - 2] else None
+                for counter in ([self.mark] if marked else []) + ([end] if stop and not (marked and i == n) else []):
+                    counter["w"][last] += 1
+                    if pair:
+                        counter["b"][pair] += 1
+                units = [t for t, u in zip(tokens[first:i], unit[first:i]) if u]
                 if len(units) >= 4 and i < n:
-                    clause_keys = (("s", " ".join(units[:2])), ("e", " ".join(units[-4:])))
-                    total.update(clause_keys)
-                    if stop:
-                        end.update(clause_keys)
+                    for kind, key in (("s", " ".join(units[:2])), ("e", " ".join(units[-4:]))):
+                        total[kind][key] += 1
+                        if stop:
+                            end[kind][key] += 1
 
     def rows(self) -> pa.RecordBatch:
-        keys = list(self.total)
+        keys = [(kind, key) for kind, counter in self.total.items() for key in counter]
         n = len(keys)
         empty = lambda t: pa.nulls(n, t)
+        of = lambda counts: pa.array([counts[k].get(v, 0) for k, v in keys], pa.int64())
         out = pa.RecordBatch.from_arrays(
-            [empty(pa.string()), empty(pa.int64()), empty(pa.string()), empty(pa.string()), empty(pa.int32()), empty(pa.int32()), empty(pa.int64()), empty(_KEYS), pa.array([k for k, _ in keys], pa.string()), pa.array([k for _, k in keys], pa.string()), pa.array([self.total[k] for k in keys], pa.int64()), pa.array([self.end[k] for k in keys], pa.int64()), pa.array([self.mark[k] for k in keys], pa.int64())],
+            [empty(pa.string()), empty(pa.int64()), empty(pa.string()), empty(pa.string()), empty(pa.int32()), empty(pa.int32()), empty(pa.int64()), empty(_KEYS), pa.array([k for k, _ in keys], pa.string()), pa.array([v for _, v in keys], pa.string()), of(self.total), of(self.end), of(self.mark)],
             names=_NAMES,
         )
         self.__init__()
@@ -180,9 +177,9 @@ def _scan(held_keys: int = 400_000):
                 [pa.array(tables, pa.string()), pa.array(row_keys, pa.int64()), pa.array(groups, pa.string()), pa.array(states, pa.string()), pa.array(chars, pa.int32()), pa.array(octets, pa.int32()), pa.array(hashes, pa.int64()), pa.array(keys, _KEYS), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
                 names=_NAMES,
             )
-            if len(counts.total) > held_keys:
+            if len(counts) > held_keys:
                 yield counts.rows()
-        if counts.total:
+        if len(counts):
             yield counts.rows()
 
     return scan
@@ -202,22 +199,65 @@ def _caps(rows: DataFrame) -> DataFrame:
     return spiked.filter((F.col("here") >= CAP_TEXTS) & (F.col("here") >= F.col("ratio") * F.col("near"))).select("table_name", "grp", "unit", "cap")
 
 
-def find_truncated(texts: DataFrame) -> DataFrame:
-    """``table_name, row_key, grp, cut`` of every non-blank text.
+@dataclass(frozen=True)
+class TruncationModel:
+    """What a corpus says about ends: counts of words, pairs and clause ends, the trie, closing phrases and length limits.
 
-    ``texts`` has ``table_name, row_key, grp, text``.
+    Written once, it gives a text the same verdict whatever corpus it comes with.
     """
-    rows = texts.filter(F.col("text").rlike(r"[^\s　]")).select("table_name", F.col("row_key").cast("long"), "grp", "text", F.xxhash64("text").alias("h"))
-    scanned = materialize(rows.mapInArrow(_scan(), SCHEMA))
+
+    stats: DataFrame
+    nodes: DataFrame
+    closing: DataFrame
+    caps: DataFrame
+
+    def write(self, path: str) -> None:
+        for name in ("stats", "nodes", "closing", "caps"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def read(cls, spark, path: str) -> TruncationModel:
+        return cls(*(spark.read.parquet(f"{path}/{name}") for name in ("stats", "nodes", "closing", "caps")))
+
+
+def _scanned(texts: DataFrame) -> DataFrame:
+    rows = texts.filter(F.col("text").rlike(r"[^\s\u3000]")).select("table_name", F.col("row_key").cast("long"), "grp", "text", F.xxhash64("text").alias("h"))
+    return materialize(rows.mapInArrow(_scan(), SCHEMA))
+
+
+def _judged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     judged = scanned.filter("state IS NOT NULL").select("table_name", "row_key", "grp", "state", "chars", "octets", "h", "keys")
+    looked = judged.filter(F.col("state").startswith("open")).select("table_name", "row_key", F.explode("keys").alias("k")).select("table_name", "row_key", "k.kind", "k.key").distinct()
+    return judged, looked
+
+
+def _fit(scanned: DataFrame) -> TruncationModel:
+    judged, looked = _judged(scanned)
     stats = scanned.filter("state IS NULL").groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("n_end").alias("n_end"), F.sum("n_mark").alias("n_mark"))
-    is_open = F.col("state").startswith("open")
-    looked = judged.filter(is_open).select("table_name", "row_key", F.explode("keys").alias("k")).select("table_name", "row_key", "k.kind", "k.key").distinct()
-    # The trie: a node for each proper prefix of a word seen more than once; single characters are no words to be cut.
+    # The trie: a node for each proper prefix of a word seen more than once; the pairs of single
+    # characters are its nodes for texts without blanks (their ends are counted like those of words).
     words = stats.filter((F.col("kind") == "w") & (F.col("n") > 1) & (F.length("key") > 1)).select("key", "n")
     nodes = words.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("key") - 1), lambda i: F.substring(F.col("key"), F.lit(1), i))).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("below"))
     # How often a clause end ends open texts: phrases that stand nowhere but there close postings.
     closing = looked.filter("kind = 'e'").groupBy("kind", "key").agg(F.count("*").alias("closes"))
+    return TruncationModel(stats, nodes, closing, _caps(judged))
+
+
+def fit_truncation(texts: DataFrame) -> TruncationModel:
+    """The model of a corpus, to be written and used for other texts."""
+    return _fit(_scanned(texts))
+
+
+def find_truncated(texts: DataFrame, model: TruncationModel | None = None) -> DataFrame:
+    """``table_name, row_key, grp, cut`` of every non-blank text.
+
+    ``texts`` has ``table_name, row_key, grp, text``.  Without a ``model`` the
+    texts are their own corpus.
+    """
+    scanned = _scanned(texts)
+    judged, looked = _judged(scanned)
+    fitted = model or _fit(scanned)
+    stats, nodes, closing, own = fitted.stats, fitted.nodes, fitted.closing, 0 if model else 1
     wanted = looked.select("kind", "key").distinct()
     known = wanted.join(stats, ["kind", "key"], "left").join(nodes.withColumn("kind", F.lit("w")), ["kind", "key"], "left").join(closing, ["kind", "key"], "left")
     of = lambda kind, what: F.max(F.when(F.col("kind") == kind, F.coalesce(F.col(what), F.lit(0))))
@@ -226,18 +266,18 @@ def find_truncated(texts: DataFrame) -> DataFrame:
         .groupBy("table_name", "row_key")
         .agg(*[of(k, c).alias(f"{k}_{c}") for k in "wbse" for c in ("n", "n_end", "n_mark")], of("w", "below").alias("below"), of("e", "closes").alias("closes"), F.max(F.when(F.col("kind") == "w", F.col("key"))).alias("word"))
     )
-    caps = _caps(judged)
+    caps = fitted.caps
     at_c = caps.filter("unit = 'c'").select("table_name", "grp", F.col("cap").alias("chars")).distinct().withColumn("at_c", F.lit(True))
     at_b = caps.filter("unit = 'b'").select("table_name", "grp", F.explode(F.sequence(F.col("cap") - 3, F.col("cap"))).alias("octets")).distinct().withColumn("at_b", F.lit(True))
     full = judged.drop("keys").join(facts, ["table_name", "row_key"], "left").join(at_c, ["table_name", "grp", "chars"], "left").join(at_b, ["table_name", "grp", "octets"], "left")
     capped = F.coalesce(F.col("at_c"), F.col("at_b"), F.lit(False))
     share = lambda k, less: (F.col(f"{k}_n_end") - less) / F.greatest(F.col(f"{k}_n") - less, F.lit(1))
-    pair_known = F.coalesce(F.col("b_n") - 1 >= KNOWN, F.lit(False))
+    pair_known = F.coalesce(F.col("b_n") - own >= KNOWN, F.lit(False))
     single = F.col("word").rlike(rf"^[{_CJK}]$")
     # Cut words recur, too: a fragment is still unknown if it stands only where texts end, and rarely against the words it begins.
-    fragment = (F.col("w_n") - 1 < 2) | ((F.col("w_n_end") + F.col("w_n_mark") >= 0.9 * F.col("w_n")) & (F.col("w_n") < 0.1 * F.col("below")))
+    fragment = (F.col("w_n") - own < 2) | ((F.col("w_n_end") + F.col("w_n_mark") >= 0.9 * F.col("w_n")) & (F.col("w_n") < 0.1 * F.col("below")))
     unknown_prefix = ~single & (F.col("word") != "#") & (F.coalesce("below", F.lit(0)) > 2) & fragment
-    mid_sentence = F.when(pair_known, share("b", 1) < END_SHARE).otherwise((F.col("w_n") - 1 >= KNOWN) & (share("w", 1) < END_SHARE))
+    mid_sentence = F.when(pair_known, share("b", own) < END_SHARE).otherwise((F.col("w_n") - own >= KNOWN) & (share("w", own) < END_SHARE))
     mid_clause = ((F.col("s_n") >= 20) & (share("s", 0) < START_SHARE)) | ((F.col("e_n") >= KNOWN) & (share("e", 0) < 0.1))
     phrase_with_mark = F.when(pair_known, F.col("b_n_mark") / F.col("b_n") >= 0.3).otherwise(F.lit(False)) & ~F.coalesce(unknown_prefix, F.lit(False))
     set_phrase = F.coalesce((F.col("closes") >= KNOWN) & (F.col("e_n") <= 0.5 * F.col("closes")), F.lit(False))

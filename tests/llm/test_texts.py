@@ -203,3 +203,18 @@ def test_alpha_decides(spark):
     found = {a: {r["doc_id"] for r in repetition.repetition(df, repetition.RiskControl(alpha=a)).filter("repetitive").collect()} for a in (0.001, 0.3)}
     assert found[0.001] == set(range(300))
     assert found[0.3] == set(range(330))
+
+
+def test_stored_truncation_model_decides_alike(spark, tmp_path):
+    """With a stored model the same texts get the same verdicts alone, and among ten and a hundred times as many."""
+    schema = "table_name string, row_key long, grp string, text string"
+    corpus = [("jobs", i, "g", f"{SENTENCES[i % 3]} {SENTENCES[(i + 1) % 3]}") for i in range(60)]
+    truncation.fit_truncation(spark.createDataFrame(corpus, schema)).write(str(tmp_path / "model"))
+    model = truncation.TruncationModel.read(spark, str(tmp_path / "model"))
+    fixed = [("jobs", 0, "g", "We operate modular systems and docu"), ("jobs", 1, "g", SENTENCES[0]), ("jobs", 2, "g", "You will inspect the greenhouse with"), ("jobs", 3, "g", None)]
+    got = []
+    for times in (0, 10, 100):
+        more = [("jobs", 100 + i, "h", "You will inspect the greenhouse with") for i in range(times)]
+        judged = truncation.find_truncated(spark.createDataFrame(fixed + more, schema), model).filter("row_key < 100")
+        got.append({r["row_key"]: r["cut"] for r in judged.collect()})
+    assert got[0] == got[1] == got[2] == {0: True, 1: False, 2: True}
