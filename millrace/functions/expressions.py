@@ -1,12 +1,15 @@
-"""Column expressions: identities, URLs, scores."""
+"""Column expressions: identities and scores."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Query parameters that only track.
-TRACKING = ("fbclid", "gclid", "msclkid", "spm", "from", "source", "ref", "referrer", "tracking")
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which stands in the expression once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def normal_text(c: Column) -> Column:
@@ -14,23 +17,6 @@ def normal_text(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[\s\p{P}\p{S}]+", "")
 
 
-def host(url: Column) -> Column:
-    """Lower-cased host of an http(s) URL without credentials, else null."""
-    found = F.lower(F.regexp_extract(url, r"^https?://([^/?#@:]+)(?::\d+)?(?:[/?#]|$)", 1))
-    return F.when(found != "", found)
-
-
-def canonical_url(url: Column) -> Column:
-    """http(s) URL with lower-cased host, without default port, fragment, doubled or trailing slashes and tracking parameters, the rest sorted."""
-    path = F.regexp_replace(F.regexp_replace(F.regexp_extract(url, r"^https?://[^/?#]+([^?#]*)", 1), "/{2,}", "/"), "/+$", "")
-    port = F.regexp_extract(url, r"^https?://[^/?#@:]+(:\d+)", 1)
-    scheme = F.lower(F.regexp_extract(url, r"^(https?)://", 1))
-    shown = F.when(((scheme == "https") & (port == ":443")) | ((scheme == "http") & (port == ":80")), "").otherwise(port)
-    pairs = F.filter(F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&"), lambda p: (p != "") & ~F.lower(p).startswith("utm_") & ~F.lower(F.split(p, "=")[0]).isin(*TRACKING))
-    query = F.array_join(F.array_sort(pairs), "&")
-    return F.when(host(url).isNotNull(), F.concat(scheme, F.lit("://"), host(url), shown, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
-
-
 def stable_id(*parts: Column, length: int = 20) -> Column:
     """Hex prefix of the SHA-256 of the parts, NUL between them."""
     joined = F.concat_ws("\x00", *[F.coalesce(p, F.lit("")) for p in parts])
@@ -43,7 +29,7 @@ def age_days(later: Column, earlier: Column) -> Column:
 
 
 def freshness(days: Column) -> Column:
-    return F.when(days.isNull(), 82).when(days <= 7, 98).when(days <= 30, 95).when(days <= 90, 86).otherwise(68)
+    return F.when(days.isNull(), 82).when(days <= 7, 98).when(days <= 30, 95).when(days <= 180, 86).otherwise(68)
 
 
 def suffixes(hostname: Column) -> Column:

@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import core_data, registry
+from millrace.plans import core_data, geography, identity, registry
+
+_PARTS = (identity.CATALOG, geography.CATALOG)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return registry.queries() | {"p3_found": core_data.p3_found, "p6_found": core_data.p6_found}
+    out = registry.queries()
+    for part in _PARTS:
+        out |= part.queries
+    return out | {"p3_found": core_data.p3_found, "p6_found": core_data.p6_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return registry.oracle_sql()
+    out = registry.oracle_sql()
+    for part in _PARTS:
+        out |= part.sql
+    return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.functions import expressions as X
+from millrace.functions import urls as U
 from millrace.operators import relational as R
 from millrace.session import table
 
@@ -51,16 +52,6 @@ def stored_status(spark, d):
     return R.supported_status(table(spark, d, "job_source_obs"))
 
 
-@query(f"""SELECT j.id, j.source_id, j.company, coalesce(s.stored_status, j.status) AS status FROM {_LATEST} j
-  LEFT JOIN ({_STATUS_SQL}) s ON s.job_id = j.id WHERE j.status <> 'quarantined' AND j.source_id IN (SELECT id FROM sources WHERE lifecycle = 'approved' AND collection_enabled)
-  AND coalesce(s.stored_status, j.status) = 'confirmed_active'""")
-def list_jobs(spark, d):
-    """Active postings of approved and enabled sources, by the recomputed status."""
-    jobs = _latest(spark, d, "source_id", "company", "status").filter("status <> 'quarantined'").join(_active(spark, d).select(F.col("id").alias("source_id")), "source_id", "left_semi")
-    status = R.supported_status(table(spark, d, "job_source_obs")).select(F.col("job_id").alias("id"), "stored_status")
-    return jobs.join(status, "id", "left").select("id", "source_id", "company", F.coalesce("stored_status", "status").alias("status")).filter("status = 'confirmed_active'")
-
-
 @query("SELECT id, source_key, lifecycle, count(*) OVER () AS total FROM sources WHERE lifecycle = 'approved' ORDER BY discovered_at DESC, id LIMIT 50 OFFSET 10")
 def list_sources_page(spark, d):
     rows = table(spark, d, "sources").filter("lifecycle = 'approved'")
@@ -75,24 +66,6 @@ def missing_pass(spark, d):
     return R.missing_advance(table(spark, d, "job_source_obs"), F.col("missing_mode") == "authoritative")
 
 
-_NAMES = "(SELECT DISTINCT region_code, level_name, province_code, unnest(list_concat([name_zh, name_en, label], aliases)) AS nm FROM regions)"
-_UNIQUE = f"(SELECT nm, min(region_code) AS region_code, min(province_code) AS province_code FROM {_NAMES} GROUP BY nm HAVING count(DISTINCT region_code) = 1)"
-
-
-@query(f"""WITH places AS (SELECT DISTINCT j.id, u.region_code, u.province_code FROM (SELECT id, unnest(work_locations_raw) AS v FROM jobs) j JOIN {_UNIQUE} u ON u.nm = j.v),
-  counts AS (SELECT region_code, count(DISTINCT id) AS jobs_here FROM places GROUP BY region_code), prov AS (SELECT province_code, count(DISTINCT id) AS jobs_province FROM places WHERE province_code IS NOT NULL GROUP BY province_code)
-  SELECT r.region_code, coalesce(c.jobs_here, 0) AS jobs_here, coalesce(p.jobs_province, 0) AS jobs_province FROM regions r LEFT JOIN counts c ON c.region_code = r.region_code LEFT JOIN prov p ON p.province_code = r.province_code""")
-def region_rollup(spark, d):
-    """Postings per place and per province; one with several places counts once per province; places without any count 0."""
-    regions = table(spark, d, "regions")
-    names = regions.select("region_code", "province_code", F.explode(F.concat(F.array("name_zh", "name_en", "label"), "aliases")).alias("nm")).distinct()
-    unique = names.groupBy("nm").agg(F.min("region_code").alias("region_code"), F.min("province_code").alias("province_code"), F.countDistinct("region_code").alias("m")).filter("m = 1").drop("m")
-    places = table(spark, d, "jobs").select("id", F.explode("work_locations_raw").alias("nm")).join(unique, "nm").select("id", "region_code", "province_code").distinct()
-    here = places.groupBy("region_code").agg(F.countDistinct("id").alias("jobs_here"))
-    province = places.filter("province_code IS NOT NULL").groupBy("province_code").agg(F.countDistinct("id").alias("jobs_province"))
-    return regions.select("region_code", "province_code").join(here, "region_code", "left").join(province, "province_code", "left").select("region_code", F.coalesce("jobs_here", F.lit(0)).alias("jobs_here"), F.coalesce("jobs_province", F.lit(0)).alias("jobs_province"))
-
-
 @query("SELECT source_id AS from_id, id AS to_id, count(*) AS observations, epoch_us(min(observed_at)) AS first_us, epoch_us(max(observed_at)) AS last_us FROM jobs GROUP BY source_id, id")
 def graph_edges(spark, d):
     return table(spark, d, "jobs").groupBy(F.col("source_id").alias("from_id"), F.col("id").alias("to_id")).agg(F.count("*").alias("observations"), F.unix_micros(F.min("observed_at")).alias("first_us"), F.unix_micros(F.max("observed_at")).alias("last_us"))
@@ -108,17 +81,6 @@ def graph_summary(spark, d):
 _NORMAL = r"regexp_replace(lower(coalesce({0}, '')), '[\s\p{{Z}}\p{{P}}\p{{S}}]+', '', 'g')"
 
 
-@query(f"SELECT {_NORMAL.format('company')} || '|' || {_NORMAL.format('title')} AS identity, count(DISTINCT id) AS ids FROM jobs WHERE status <> 'closed' GROUP BY 1 HAVING count(DISTINCT id) > 1")
-def soft_duplicate_groups(spark, d):
-    identity = F.concat(X.normal_text(F.col("company")), F.lit("|"), X.normal_text(F.col("title")))
-    return table(spark, d, "jobs").filter("status <> 'closed'").groupBy(identity.alias("identity")).agg(F.countDistinct("id").alias("ids")).filter("ids > 1")
-
-
-@query("SELECT source_id, external_id, count(DISTINCT apply_url) AS urls, count(DISTINCT title) AS titles FROM jobs WHERE external_id IS NOT NULL GROUP BY ALL HAVING count(DISTINCT apply_url) > 1 AND count(DISTINCT title) > 1")
-def external_id_conflicts(spark, d):
-    return table(spark, d, "jobs").filter("external_id IS NOT NULL").groupBy("source_id", "external_id").agg(F.countDistinct("apply_url").alias("urls"), F.countDistinct("title").alias("titles")).filter("urls > 1 AND titles > 1")
-
-
 @query("""WITH x AS (SELECT rec_id, id, content_hash, CASE WHEN lag(content_hash) OVER w IS NULL OR lag(content_hash) OVER w IS DISTINCT FROM content_hash THEN 1 ELSE 0 END AS c, observed_at FROM jobs WINDOW w AS (PARTITION BY id ORDER BY observed_at, rec_id))
   SELECT rec_id, id, CAST(sum(c) OVER (PARTITION BY id ORDER BY observed_at, rec_id) AS BIGINT) AS version FROM x""")
 def job_versions(spark, d):
@@ -164,7 +126,7 @@ def target_coverage(spark, d):
     """Theta join on domain suffixes, planned as a hash join on the exploded suffixes of each host."""
     targets = table(spark, d, "employer_targets").select(F.col("id").alias("target_id"), "official_domains")
     domains = targets.select("target_id", F.explode("official_domains").alias("domain")).distinct()
-    hosts = table(spark, d, "sources").select("id", "lifecycle", F.explode(X.suffixes(X.host(F.col("source_root_url")))).alias("domain"))
+    hosts = table(spark, d, "sources").select("id", "lifecycle", F.explode(X.suffixes(U.host(F.col("source_root_url")))).alias("domain"))
     matched = domains.join(hosts, "domain").groupBy("target_id").agg(F.countDistinct("id").alias("matched"), F.max(F.when(F.col("lifecycle") == "approved", 3).when(F.col("lifecycle") == "probed", 2).otherwise(1)).alias("rank"))
     return targets.select("target_id").join(matched, "target_id", "left").select("target_id", F.coalesce("matched", F.lit(0)).alias("matched"), F.when(F.col("rank") == 3, "approved").when(F.col("rank") == 2, "verified").when(F.col("rank") == 1, "discovered").otherwise("missing").alias("coverage"))
 
@@ -246,7 +208,7 @@ def audit(spark, d):
     return out.withColumn("passed", F.col("violations") == 0)
 
 
-@query(f"SELECT id, rec_id, floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0)::BIGINT AS days, CASE WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 7 THEN 98 WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 30 THEN 95 WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 90 THEN 86 ELSE 68 END AS freshness FROM {_LATEST}")
+@query(f"SELECT id, rec_id, floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0)::BIGINT AS days, CASE WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 7 THEN 98 WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 30 THEN 95 WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 180 THEN 86 ELSE 68 END AS freshness FROM {_LATEST}")
 def freshness_scores(spark, d):
     days = X.age_days(F.timestamp_seconds(F.lit(1787184000)), F.col("observed_at"))
     return _latest(spark, d).select("id", "rec_id", days.alias("days"), X.freshness(days).alias("freshness"))
@@ -270,20 +232,6 @@ def jobs_without_observation(spark, d):
     return table(spark, d, "jobs").select("id").join(table(spark, d, "job_source_obs").select(F.col("job_id").alias("id")), "id", "left_anti").distinct()
 
 
-@query("SELECT rec_id, substr(sha256(source_id || chr(0) || coalesce(external_id, apply_url, '')), 1, 20) AS stable_id FROM jobs")
-def stable_ids(spark, d):
-    return table(spark, d, "jobs").select("rec_id", X.stable_id(F.col("source_id"), F.coalesce("external_id", "apply_url")).alias("stable_id"))
-
-
-@query(f"""WITH g AS (SELECT apply_url, {_NORMAL.format('company')} AS c, {_NORMAL.format('title')} AS t, rec_id, authenticity_score FROM jobs WHERE apply_url IS NOT NULL)
-  SELECT rec_id AS kept, n AS merged FROM (SELECT rec_id, count(*) OVER p AS n, row_number() OVER (PARTITION BY apply_url, c, t ORDER BY authenticity_score DESC, rec_id) AS rn FROM g WINDOW p AS (PARTITION BY apply_url, c, t)) WHERE rn = 1""")
-def exact_merge(spark, d):
-    """One row per application URL, company and title: the most authentic record, the first at a tie."""
-    keys = ["apply_url", X.normal_text(F.col("company")).alias("c"), X.normal_text(F.col("title")).alias("t")]
-    best = F.max_by("rec_id", F.struct("authenticity_score", -F.col("rec_id")))
-    return table(spark, d, "jobs").filter("apply_url IS NOT NULL").groupBy(*keys).agg(best.alias("kept"), F.count("*").alias("merged")).select("kept", "merged")
-
-
 @query("SELECT rec_id, id FROM jobs QUALIFY row_number() OVER (PARTITION BY id ORDER BY observed_at DESC, rec_id DESC) <= 2")
 def retained_versions(spark, d):
     """The two newest records of each posting."""

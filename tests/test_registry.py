@@ -7,9 +7,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions import expressions as X
+from millrace.functions import urls as U
 from millrace.operators import relational as R
-from millrace.plans import registry
+from millrace.plans import catalog
 
 DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
 
@@ -18,17 +18,17 @@ def _value(v):
     return round(v, 6) if isinstance(v, float) else v
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for p in DATA.glob("*.parquet"):
         con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
-    result = con.execute(registry.oracle_sql()[name])
+    result = con.execute(catalog.oracle_sql()[name])
     columns = [c[0] for c in result.description]
     expected = Counter(tuple(_value(r[columns.index(c)]) for c in sorted(columns)) for r in result.fetchall())
-    df = registry.queries()[name](spark, str(DATA))
+    df = catalog.queries()[name](spark, str(DATA))
     assert sorted(df.columns) == sorted(columns)
     assert Counter(tuple(_value(v) for v in r) for r in df.select(*sorted(columns)).collect()) == expected
 
@@ -42,9 +42,9 @@ def test_supported_status_needs_all_sources_to_close(spark):
 
 
 def test_canonical_url(spark):
-    rows = [("HTTPS://Jobs.Example.com:443//apply/1/?utm_source=feed&b=2&a=1#top",), ("https://jobs.example.com/apply/1?a=1&b=2",), ("javascript:alert(1)",), ("https://user:pw@x.example/",), (None,)]
-    got = [r["u"] for r in spark.createDataFrame(rows, "url string").select(X.canonical_url(F.regexp_replace("url", "^HTTPS", "https")).alias("u")).collect()]
-    assert got == ["https://jobs.example.com/apply/1?a=1&b=2"] * 2 + [None] * 3
+    rows = [("HTTPS://Jobs.Example.com:443//apply/1/?utm_source=feed&b=2&a=1#top",), ("https://jobs.example.com/apply/1?a=1&b=2",), ("http://x.example",), ("http://x.example:8080/a/?q=Beijing, China&gh_src=1",), ("javascript:alert(1)",), ("https://user:pw@x.example/",), ("https://100.64.0.1/",), (" ",), (None,)]
+    got = [r["u"] for r in spark.createDataFrame(rows, "url string").select(U.canonical_url(F.col("url")).alias("u")).collect()]
+    assert got == ["https://jobs.example.com/apply/1?a=1&b=2"] * 2 + ["http://x.example/", "http://x.example:8080/a?q=Beijing%2C+China"] + [None] * 5
 
 
 def test_recent_unique_keeps_last_occurrence(spark):
