@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import core_data, geography, identity, registry
+from millrace.plans import core_data, geography, hosting, identity, registry
 
-_PARTS = (identity.CATALOG, geography.CATALOG)
+_PARTS = (identity.CATALOG, geography.CATALOG, hosting.CATALOG)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
