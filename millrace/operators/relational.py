@@ -57,16 +57,26 @@ def supported_status(obs: DataFrame) -> DataFrame:
     return folded.select("job_id", status.alias("stored_status"), F.when(F.col("all_closed"), 0).otherwise(F.col("top")).alias("score"), "missing")
 
 
-def missing_advance(obs: DataFrame, authoritative: Column) -> DataFrame:
-    """Counts for sources that didn't list a posting again: one more if the pass was authoritative, else marked for review only."""
-    open_ = F.col("observed_status") != "closed"
-    streak = F.when(F.col("missing_mode") == "review_only", 0).otherwise(F.col("consecutive_missing"))
+def missing_advance(obs: DataFrame, seen: Column, whole: Column) -> DataFrame:
+    """The counts after a pass: ``job_id, source_id, missing_after, mode_after, status_after, score_after``.
+
+    A support that was ``seen`` starts at zero.  One that a ``whole`` feed didn't
+    list counts one more, from zero if it was only marked before, and closes at
+    its threshold, two at least; a partial feed marks it for review, caps its
+    score at 50 and never touches a running count.  Closed ones stay.
+    """
+    open_ = ~seen & (F.col("observed_status") != "closed")
+    streak = F.when(F.col("missing_mode") == "review_only", 0).otherwise(F.col("consecutive_missing")) + 1
+    missing = F.when(seen, 0).when(open_ & whole, streak).when(open_ & (F.col("consecutive_missing") == 0), 1).otherwise(F.col("consecutive_missing"))
+    gone = open_ & whole & (streak >= F.greatest(F.lit(2), F.coalesce("closure_threshold", F.lit(2))))
+    score = F.coalesce("active_score", F.lit(0))
     return obs.select(
         "job_id",
         "source_id",
-        F.when(open_ & authoritative, streak + 1).when(open_ & (F.col("consecutive_missing") == 0), 1).otherwise(F.col("consecutive_missing")).cast("long").alias("missing_after"),
-        F.when(open_ & authoritative, "authoritative").when(open_ & (F.col("consecutive_missing") == 0), "review_only").otherwise(F.col("missing_mode")).alias("mode_after"),
-        F.when(open_ & ~authoritative, F.least(F.coalesce("active_score", F.lit(0)), F.lit(50))).otherwise(F.coalesce("active_score", F.lit(0))).alias("score_after"),
+        missing.cast("long").alias("missing_after"),
+        F.when(open_ & whole, "authoritative").when(open_ & (F.col("consecutive_missing") == 0), "review_only").otherwise(F.col("missing_mode")).alias("mode_after"),
+        F.when(gone, "closed").when(open_, "needs_review").otherwise(F.col("observed_status")).alias("status_after"),
+        F.when(gone, 0).when(open_ & ~whole, F.least(score, F.lit(50))).otherwise(score).alias("score_after"),
     )
 
 
@@ -111,23 +121,3 @@ def asof_latest(left: DataFrame, right: DataFrame, key: str, at_left: str, at_ri
     within = F.max("_seen").over(W.partitionBy("_k", "_m").orderBy("_at", "_q").rowsBetween(W.unboundedPreceding, W.currentRow))
     got = both.withColumn("_w", within).filter("_q = 1").join(carried, ["_k", "_m"], "left")
     return got.withColumn(out, F.coalesce("_w", "_carry")).select(*left.columns, out)
-
-
-def commit_merge(existing: DataFrame, incoming: DataFrame, key: str, content: str, authoritative: bool) -> DataFrame:
-    """One pass of a source against the stored rows: ``key, action, version, missing``.
-
-    ``existing`` has ``key, content, version, missing, status``; ``incoming``
-    ``key, content``, one row per key.  New keys are inserted at version 1,
-    changed content adds one, equal content changes nothing; a stored, not
-    closed key that the pass doesn't list is missing once more if the pass was
-    authoritative and is only marked for review otherwise.
-    """
-    stored = existing.select(F.col(key), F.col(content).alias("_old"), F.col("version").alias("_v"), F.col("missing").alias("_m"), F.col("status").alias("_s"), F.lit(True).alias("_has"))
-    listed = incoming.select(F.col(key), F.col(content).alias("_new"), F.lit(True).alias("_in"))
-    both = stored.join(listed, key, "full")
-    inserted, present = F.col("_has").isNull(), F.col("_in").isNotNull()
-    same = F.col("_old").eqNullSafe(F.col("_new"))
-    action = F.when(inserted, "insert").when(present & same, "unchanged").when(present, "update").when(F.col("_s") == "closed", "closed").otherwise("missing" if authoritative else "review")
-    version = F.when(inserted, F.lit(1)).when(present & ~same, F.col("_v") + 1).otherwise(F.col("_v")).cast("long")
-    missing = F.when(present, F.lit(0)).when(F.col("_s") == "closed", F.col("_m")).otherwise(F.col("_m") + 1 if authoritative else F.greatest(F.col("_m"), F.lit(1))).cast("long")
-    return both.select(key, action.alias("action"), version.alias("version"), missing.alias("missing"))

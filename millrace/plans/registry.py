@@ -59,25 +59,6 @@ def list_sources_page(spark, d):
     return R.page(rows.select("id", "source_key", "lifecycle", "discovered_at"), 50, 10, F.desc("discovered_at"), F.asc("id")).crossJoin(F.broadcast(total)).drop("discovered_at")
 
 
-@query("""SELECT job_id, source_id, CASE WHEN observed_status <> 'closed' AND missing_mode = 'authoritative' THEN consecutive_missing + 1 WHEN observed_status <> 'closed' AND consecutive_missing = 0 THEN 1 ELSE consecutive_missing END AS missing_after,
-  CASE WHEN observed_status <> 'closed' AND missing_mode = 'authoritative' THEN 'authoritative' WHEN observed_status <> 'closed' AND consecutive_missing = 0 THEN 'review_only' ELSE missing_mode END AS mode_after,
-  CASE WHEN observed_status <> 'closed' AND NOT missing_mode = 'authoritative' THEN least(coalesce(active_score, 0), 50) ELSE coalesce(active_score, 0) END AS score_after FROM job_source_obs""")
-def missing_pass(spark, d):
-    return R.missing_advance(table(spark, d, "job_source_obs"), F.col("missing_mode") == "authoritative")
-
-
-@query("SELECT source_id AS from_id, id AS to_id, count(*) AS observations, epoch_us(min(observed_at)) AS first_us, epoch_us(max(observed_at)) AS last_us FROM jobs GROUP BY source_id, id")
-def graph_edges(spark, d):
-    return table(spark, d, "jobs").groupBy(F.col("source_id").alias("from_id"), F.col("id").alias("to_id")).agg(F.count("*").alias("observations"), F.unix_micros(F.min("observed_at")).alias("first_us"), F.unix_micros(F.max("observed_at")).alias("last_us"))
-
-
-@query("WITH e AS (SELECT DISTINCT source_id, id FROM jobs) SELECT (SELECT count(*) FROM e) AS edges, (SELECT count(*) FROM (SELECT 's' || source_id AS n FROM e UNION SELECT 'j' || id FROM e)) AS nodes")
-def graph_summary(spark, d):
-    edges = table(spark, d, "jobs").select("source_id", "id").distinct()
-    ends = edges.select(F.explode(F.array(F.concat(F.lit("s"), "source_id"), F.concat(F.lit("j"), "id"))).alias("n"))
-    return edges.agg(F.count("*").alias("edges")).crossJoin(F.broadcast(ends.agg(F.countDistinct("n").alias("nodes"))))
-
-
 _NORMAL = r"regexp_replace(lower(coalesce({0}, '')), '[\s\p{{Z}}\p{{P}}\p{{S}}]+', '', 'g')"
 
 
@@ -258,21 +239,6 @@ def asof_observation(spark, d):
     return got.select("hit_id", F.unix_micros("last_seen").alias("last_seen_us"))
 
 
-_SPLIT = "2026-06-01 00:00:00"
-_SIDE = "(SELECT id, max_by(content_hash, rec_id) AS content_hash, max_by(status, rec_id) AS status, count(*) AS version FROM jobs WHERE epoch_us(observed_at) {0} epoch_us(TIMESTAMP '" + _SPLIT + "') GROUP BY id)"
-
-
-@query(f"""SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'insert' WHEN b.id IS NOT NULL AND a.content_hash IS NOT DISTINCT FROM b.content_hash THEN 'unchanged' WHEN b.id IS NOT NULL THEN 'update' WHEN a.status = 'closed' THEN 'closed' ELSE 'missing' END AS action,
-  CASE WHEN a.id IS NULL THEN 1 WHEN b.id IS NOT NULL AND a.content_hash IS DISTINCT FROM b.content_hash THEN a.version + 1 ELSE a.version END AS version,
-  CASE WHEN b.id IS NOT NULL THEN 0 WHEN a.status = 'closed' THEN 0 ELSE 1 END AS missing FROM {_SIDE.format('<')} a FULL JOIN {_SIDE.format('>=')} b ON a.id = b.id""")
-def commit_actions(spark, d):
-    """What a pass with the later observations does to the snapshot of the earlier ones."""
-    jobs = table(spark, d, "jobs").select("id", "content_hash", "status", "rec_id", F.unix_micros("observed_at").alias("us"))
-    cut = 1780272000000000
-    side = lambda rows: rows.groupBy("id").agg(F.max_by("content_hash", "rec_id").alias("content_hash"), F.max_by("status", "rec_id").alias("status"), F.count("*").alias("version"), F.lit(0).cast("long").alias("missing"))
-    return R.commit_merge(side(jobs.filter(F.col("us") < cut)), side(jobs.filter(F.col("us") >= cut)).select("id", "content_hash"), "id", "content_hash", True)
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
