@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import commits, core_data, geography, hosting, identity, registry
+from millrace.plans import commits, core_data, geography, hosting, identity, planning, registry
 
-_PARTS = (identity.CATALOG, geography.CATALOG, hosting.CATALOG, commits.CATALOG)
+_PARTS = (identity.CATALOG, geography.CATALOG, hosting.CATALOG, commits.CATALOG, planning.CATALOG)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

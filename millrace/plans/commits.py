@@ -12,7 +12,7 @@ from millrace.operators import relational as R
 from millrace.plans.catalog_base import Catalog
 from millrace.plans.geography import _PLACES, record_places
 from millrace.plans.identity import NORMAL, canonical_sql
-from millrace.session import table
+from millrace.session import materialize, table
 
 CATALOG = Catalog()
 query = CATALOG.query
@@ -51,6 +51,8 @@ def commit_pass(stored: DataFrame, listed: DataFrame, approved: DataFrame, seen:
     of the sources that committed and that no row matched are missing once more
     and close at their threshold, two at least.
     """
+    # Both sides are read several times.
+    stored, listed = materialize(stored), materialize(listed)
     groups = stored.select("source_id", "ext", "u", "ident", "id").unionByName(listed.select("source_id", "ext", "u", "ident", "id"))
     conflicts = R.key_conflicts(groups, ["source_id", "ext"], "u", "ident", "id", 1).select("source_id").distinct().withColumn("bad", F.lit(True))
     new = listed.join(F.broadcast(approved.withColumn("ok", F.lit(True))), "source_id", "left").join(F.broadcast(conflicts), "source_id", "left")

@@ -83,12 +83,6 @@ def discovery_groups(spark, d):
     return table(spark, d, "discovery_hits").groupBy(F.coalesce("source_id", F.lit("none")).alias("source_id")).agg(F.count("*").alias("hits"), F.countDistinct("query_id").alias("queries"), F.min("rank_no").alias("best_rank"), F.unix_micros(F.max("discovered_at")).alias("last_us"))
 
 
-@query("WITH t AS (SELECT DISTINCT provider, query_id FROM discovery_hits), r AS (SELECT provider, query_id, row_number() OVER (PARTITION BY provider ORDER BY query_id) AS round FROM t) SELECT * FROM r ORDER BY round, provider LIMIT 100")
-def fair_schedule(spark, d):
-    """The first hundred tasks, one per provider and round."""
-    return R.round_robin(table(spark, d, "discovery_hits").select("provider", "query_id").distinct(), "provider", "query_id").withColumn("round", F.col("round").cast("long")).orderBy("round", "provider").limit(100)
-
-
 @query(f"""WITH a AS (SELECT source_id, max(observed_at) AS at FROM jobs GROUP BY 1) SELECT s.id, CASE WHEN source_type = 'official_ats' THEN 6 WHEN source_type IN ('government', 'public_board') THEN 12 ELSE 24 END AS cadence_hours,
   coalesce(epoch_us(a.at) + 3600000000 * CASE WHEN source_type = 'official_ats' THEN 6 WHEN source_type IN ('government', 'public_board') THEN 12 ELSE 24 END <= epoch_us(TIMESTAMP '{NOW}'), true) AS due
   FROM sources s LEFT JOIN a ON a.source_id = s.id WHERE lifecycle = 'approved' AND collection_enabled""")
@@ -124,15 +118,6 @@ def status_differences(spark, d):
     return a.join(b, "id", "full").filter(~F.col("snapshot").eqNullSafe(F.col("folded")))
 
 
-@query("""WITH seen AS (SELECT DISTINCT company FROM jobs) SELECT id, CASE tier WHEN 'A' THEN 1000 WHEN 'B' THEN 500 ELSE 100 END + CASE WHEN name IN (SELECT company FROM seen) THEN 0 ELSE 500 END + CASE WHEN official_website IS NOT NULL THEN 150 ELSE 0 END AS score
-  FROM employer_targets ORDER BY score DESC, tier, id LIMIT 100""")
-def target_queue(spark, d):
-    """The hundred targets to visit first."""
-    seen = table(spark, d, "jobs").select(F.col("company").alias("name")).distinct().withColumn("seen", F.lit(True))
-    score = F.when(F.col("tier") == "A", 1000).when(F.col("tier") == "B", 500).otherwise(100) + F.when(F.col("seen"), 0).otherwise(500) + F.when(F.col("official_website").isNotNull(), 150).otherwise(0)
-    return table(spark, d, "employer_targets").join(seen, "name", "left").select("id", score.alias("score"), "tier").orderBy(F.desc("score"), "tier", "id").limit(100).drop("tier")
-
-
 @query("""WITH x AS (SELECT user_id, event_id, ts, event_type, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM events)
   SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id, island ORDER BY ts, event_id) - CASE WHEN island > 0 THEN 1 ELSE 0 END AS BIGINT) AS failures FROM x QUALIFY event_type = 'error'""")
 def failure_streaks(spark, d):
@@ -155,40 +140,6 @@ def daily_budget(spark, d):
     return table(spark, d, "events").groupBy(F.to_date("ts").cast("string").alias("day")).agg(n.alias("used"), F.greatest(n - 300, F.lit(0)).cast("long").alias("over_budget"))
 
 
-@query("SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) // 1000000 RANGE BETWEEN 59 PRECEDING AND CURRENT ROW) AS in_minute FROM events")
-def sliding_rate(spark, d):
-    seconds = table(spark, d, "events").select("event_id", "event_type", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000).alias("s"))
-    return seconds.select("event_id", F.count("*").over(W.partitionBy("event_type").orderBy("s").rangeBetween(-59, 0)).alias("in_minute"))
-
-
-@query("SELECT r.region_code, t.template, replace(t.template, '{city}', r.name_zh) AS text, 'city:' || lpad(CAST(row_number() OVER (ORDER BY r.region_code, t.template) AS VARCHAR), 4, '0') AS task_id FROM regions r CROSS JOIN (VALUES ('{city} 招聘'), ('{city} 校园招聘')) t(template) WHERE r.level_name = 'city'")
-def expanded_tasks(spark, d):
-    """Templates times the cities: both sides are dimensions."""
-    rows = table(spark, d, "regions").filter("level_name = 'city'").select("region_code", "name_zh", F.explode(F.array(F.lit("{city} 招聘"), F.lit("{city} 校园招聘"))).alias("template"))
-    n = F.row_number().over(W.orderBy("region_code", "template")).cast("string")
-    return rows.select("region_code", "template", F.replace("template", F.lit("{city}"), F.col("name_zh")).alias("text"), F.concat(F.lit("city:"), F.lpad(n, 4, "0")).alias("task_id"))
-
-
-@query(f"""SELECT check_id, violations, violations = 0 AS passed FROM (SELECT 'source_ids_unique' AS check_id, (SELECT count(*) - count(DISTINCT id) FROM sources) AS violations
-  UNION ALL SELECT 'rec_ids_unique', (SELECT count(*) - count(DISTINCT rec_id) FROM jobs) UNION ALL SELECT 'jobs_have_source', (SELECT count(*) FROM jobs WHERE source_id NOT IN (SELECT id FROM sources))
-  UNION ALL SELECT 'scores_in_range', (SELECT count(*) FROM jobs WHERE active_score NOT BETWEEN 0 AND 100 OR authenticity_score NOT BETWEEN 0 AND 100) UNION ALL SELECT 'approved_have_time', (SELECT count(*) FROM sources WHERE lifecycle = 'approved' AND approved_at IS NULL))""")
-def audit(spark, d):
-    jobs, sources = table(spark, d, "jobs"), table(spark, d, "sources")
-    one = lambda name, df: df.select(F.lit(name).alias("check_id"), F.col("v").cast("long").alias("violations"))
-    count = F.count("*").alias("v")
-    parts = [
-        one("source_ids_unique", sources.agg((F.count("*") - F.countDistinct("id")).alias("v"))),
-        one("rec_ids_unique", jobs.agg((F.count("*") - F.countDistinct("rec_id")).alias("v"))),
-        one("jobs_have_source", jobs.join(sources.select(F.col("id").alias("source_id")), "source_id", "left_anti").agg(count)),
-        one("scores_in_range", jobs.filter("NOT active_score BETWEEN 0 AND 100 OR NOT authenticity_score BETWEEN 0 AND 100").agg(count)),
-        one("approved_have_time", sources.filter("lifecycle = 'approved' AND approved_at IS NULL").agg(count)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("violations") == 0)
-
-
 @query(f"SELECT id, rec_id, floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0)::BIGINT AS days, CASE WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 7 THEN 98 WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 30 THEN 95 WHEN floor((epoch_us(TIMESTAMP '{NOW}') - epoch_us(observed_at)) / 86400000000.0) <= 180 THEN 86 ELSE 68 END AS freshness FROM {_LATEST}")
 def freshness_scores(spark, d):
     days = X.age_days(F.timestamp_seconds(F.lit(1787184000)), F.col("observed_at"))
@@ -213,13 +164,6 @@ def jobs_without_observation(spark, d):
     return table(spark, d, "jobs").select("id").join(table(spark, d, "job_source_obs").select(F.col("job_id").alias("id")), "id", "left_anti").distinct()
 
 
-@query("SELECT rec_id, id FROM jobs QUALIFY row_number() OVER (PARTITION BY id ORDER BY observed_at DESC, rec_id DESC) <= 2")
-def retained_versions(spark, d):
-    """The two newest records of each posting."""
-    w = W.partitionBy("id").orderBy(F.desc("observed_at"), F.desc("rec_id"))
-    return table(spark, d, "jobs").select("rec_id", "id", "observed_at").withColumn("n", F.row_number().over(w)).filter("n <= 2").select("rec_id", "id")
-
-
 @query("SELECT e.kind AS kind, count(*) AS items, count(DISTINCT rec_id) AS records FROM (SELECT rec_id, unnest(evidence) AS e FROM jobs) GROUP BY 1")
 def evidence_histogram(spark, d):
     return table(spark, d, "jobs").select("rec_id", F.explode("evidence").alias("e")).groupBy("e.kind").agg(F.count("*").alias("items"), F.countDistinct("rec_id").alias("records"))
