@@ -83,15 +83,6 @@ def discovery_groups(spark, d):
     return table(spark, d, "discovery_hits").groupBy(F.coalesce("source_id", F.lit("none")).alias("source_id")).agg(F.count("*").alias("hits"), F.countDistinct("query_id").alias("queries"), F.min("rank_no").alias("best_rank"), F.unix_micros(F.max("discovered_at")).alias("last_us"))
 
 
-@query(f"""WITH a AS (SELECT source_id, max(observed_at) AS at FROM jobs GROUP BY 1) SELECT s.id, CASE WHEN source_type = 'official_ats' THEN 6 WHEN source_type IN ('government', 'public_board') THEN 12 ELSE 24 END AS cadence_hours,
-  coalesce(epoch_us(a.at) + 3600000000 * CASE WHEN source_type = 'official_ats' THEN 6 WHEN source_type IN ('government', 'public_board') THEN 12 ELSE 24 END <= epoch_us(TIMESTAMP '{NOW}'), true) AS due
-  FROM sources s LEFT JOIN a ON a.source_id = s.id WHERE lifecycle = 'approved' AND collection_enabled""")
-def due_sources(spark, d):
-    last = table(spark, d, "jobs").groupBy(F.col("source_id").alias("id")).agg(F.max("observed_at").alias("at"))
-    hours = F.when(F.col("source_type") == "official_ats", 6).when(F.col("source_type").isin("government", "public_board"), 12).otherwise(24)
-    return _active(spark, d).join(last, "id", "left").select("id", hours.alias("cadence_hours"), F.coalesce(F.unix_micros("at") + F.lit(3_600_000_000) * hours <= F.unix_micros(F.timestamp_seconds(F.lit(1787184000))), F.lit(True)).alias("due"))
-
-
 _HOST = "regexp_extract(lower({0}), '^https?://([^/?#@:]+)', 1)"
 
 
