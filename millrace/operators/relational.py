@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 
-def latest_by(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
-    """The newest row per key, for rows of few columns: an aggregate over structs, which sorts by key on both sides."""
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*")
-
-
 def newest(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     """The newest row per key by a ranked window, which keeps one row per key and partition before the shuffle."""
     w = W.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])

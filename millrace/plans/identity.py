@@ -90,7 +90,7 @@ def known_candidates(spark, d):
     """Candidate keys against the approved sources; of sources with one key the last discovered counts."""
     keys = table(spark, d, "discovery_hits").select(U.source_identity(U.canonical_url(F.col("url")))["source_key"].alias("source_key")).filter("source_key IS NOT NULL").groupBy("source_key").agg(F.count("*").alias("hits"))
     known = table(spark, d, "sources").filter("lifecycle = 'approved'").select(U.source_identity(U.canonical_url(F.col("source_root_url")))["source_key"].alias("source_key"), "id", "lifecycle", "discovered_at")
-    known = R.latest_by(known, ["source_key"], "discovered_at").select("source_key", F.col("id").alias("known_source"), "lifecycle")
+    known = R.newest(known, ["source_key"], "discovered_at").select("source_key", F.col("id").alias("known_source"), "lifecycle")
     return keys.join(known, "source_key", "left")
 
 
