@@ -111,4 +111,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Twins that SQL can express: every document decodes to its text."""
+    return {"p8_roundtrip": "SELECT CAST(0 AS BIGINT) AS unequal"}

@@ -92,15 +92,15 @@ def _cut_blocks(tokenizer: Tokenizer, block_docs: int):
 
 def _encode_words(tokenizer: Tokenizer):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, width = encoder(tokenizer).encode_ordinary, id_width(tokenizer)
-        known: dict[str, bytes] = {}
+        plain, width = encoder(tokenizer).encode_ordinary, id_width(tokenizer)
+
+        # A word comes once from each block that has it; what no longer fits in memory is encoded again.
+        @functools.lru_cache(maxsize=500_000)
+        def one(word: str) -> bytes:
+            return np.array(plain(word), width).tobytes()
+
         for batch in batches:
-            out = []
-            for word in batch.column(2).to_pylist():
-                ids = known.get(word)
-                if ids is None:
-                    ids = known[word] = np.array(one(word), width).tobytes()
-                out.append(ids)
+            out = list(map(one, batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["block", "slot", "ids"])
 
     return encode
