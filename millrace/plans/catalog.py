@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import bodies, commits, core_data, geography, hosting, identity, lifecycle, planning, registry
+from millrace.plans import bodies, commits, core_data, geography, hosting, identity, lifecycle, planning, registry, streams
 
-_PARTS = (identity.CATALOG, geography.CATALOG, hosting.CATALOG, commits.CATALOG, planning.CATALOG, bodies.CATALOG, lifecycle.CATALOG)
+_PARTS = (identity.CATALOG, geography.CATALOG, hosting.CATALOG, commits.CATALOG, planning.CATALOG, bodies.CATALOG, lifecycle.CATALOG, streams.CATALOG)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

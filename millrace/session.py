@@ -56,15 +56,20 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(release, spark)
-    _written.append(path)
+    remember(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 _written: list[str] = []
 
 
+def remember(spark: SparkSession, path: str) -> None:
+    """Has ``release`` delete ``path``."""
+    if not _written:
+        atexit.register(release, spark)
+    _written.append(path)
+
+
 def release(spark: SparkSession) -> None:
     """Deletes what ``materialize`` wrote in this process; results that read it must be done.  Runs at exit as well."""
     while _written:
