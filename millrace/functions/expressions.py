@@ -17,6 +17,11 @@ def normal_text(c: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[\s\p{P}\p{S}]+", "")
 
 
+def canonical_name(name: Column) -> Column:
+    """Letters and digits of a name in lower case, a leading listing mark aside."""
+    return normal_text(F.regexp_replace(name, r"(?i)^S?\*?ST(?=[^a-z])", ""))
+
+
 def stable_id(*parts: Column, length: int = 20) -> Column:
     """Hex prefix of the SHA-256 of the parts, NUL between them."""
     joined = F.concat_ws("\x00", *[F.coalesce(p, F.lit("")) for p in parts])

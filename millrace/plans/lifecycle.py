@@ -249,15 +249,10 @@ def capped_history(spark, d):
     return table(spark, d, "discovery_hits").filter("source_id IS NOT NULL").groupBy("source_id", "provider").agg((F.count("url") > 0).alias("any_url"), F.least(F.countDistinct("url"), F.lit(20)).alias("kept_urls"), F.least(F.count("*"), F.lit(50)).alias("kept_evidence"))
 
 
-def canonical_name(name: Column) -> Column:
-    """Letters and digits of a name in lower case, a leading listing mark aside."""
-    return X.normal_text(F.regexp_replace(name, r"(?i)^S?\*?ST(?=\P{L}|[㐀-鿿])", ""))
-
-
 @query(f"SELECT id, 'employer-cn-' || substr(sha256({NORMAL.format('name')}), 1, 20) AS stable_id, length({NORMAL.format('name')}) >= 2 AS sound FROM employer_targets")
 def employer_ids(spark, d):
     """Stable ids of listed employers; a name of less than two letters has none that is sound."""
-    key = canonical_name(F.col("name"))
+    key = X.canonical_name(F.col("name"))
     return table(spark, d, "employer_targets").select("id", F.concat(F.lit("employer-cn-"), F.substring(F.sha2(key, 256), 1, 20)).alias("stable_id"), (F.length(key) >= 2).alias("sound"))
 
 

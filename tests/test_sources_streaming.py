@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import search
 from millrace.functions.robots import glob_matches, robots_allow
-from millrace.sources import feeds, snapshots
+from millrace.sources import directories, feeds, snapshots
 from millrace.streaming import folds
 
 RSS = "<rss><channel><item><title><![CDATA[Job engineer]]></title><link>https://x.example/1</link><pubDate>Sat, 15 Aug 2026 22:03:23 +0800</pubDate><description>&lt;p&gt;One&lt;/p&gt;two</description></item></channel></rss>"
@@ -128,3 +128,35 @@ def test_merge_is_idempotent(spark):
     once = folds.merge_observations(state, batch, ["job", "src"], "at")
     twice = folds.merge_observations(once, batch, ["job", "src"], "at")
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, twice.collect())) == [("j", "s", 2, "new"), ("k", "s", 5, "kept")]
+
+
+MAIN = directories.Directory("main", "$.page.data", "A_CODE", "FULL", "ABBR", least=2, most=3, keep={"KIND": "^1$"}, drop={"ABBR": "退$"})
+SIDE = directories.Directory("side", "$", "no", "title", code_pattern=r"^\d+$")
+
+
+def _body(spark, text):
+    return spark.createDataFrame([(text,)], "body string")
+
+
+def test_directories_are_read_strictly(spark):
+    row = '{"A_CODE":"%s","FULL":"%s","ABBR":"%s","KIND":"%s"}'
+    good = [row % x for x in (("600001", "Oak &amp; Co Ltd", "*ST 橡 树", "1"), ("600002", "榆木 股份", "榆木", "1"), ("600003", "Elm", "Elm", "2"), ("600004", "Ash", "Ash退", "1"))]
+    got = [tuple(r) for r in directories.read_directory(_body(spark, '{"page":{"data":[%s]}}' % ",".join(good)), MAIN).orderBy("code").collect()]
+    assert got == [("main", "600001", "Oak & Co Ltd", "橡树"), ("main", "600002", "榆木股份", "榆木")]
+    for rows, part in (([good[0]], "1 rows"), ([good[0], good[0]], "stand twice"), ([good[0], row % ("6", "x", "y", "1")], "sound code"), ([good[0], row % ("600009", " ", "y", "1")], "sound code")):
+        with pytest.raises(directories.DirectoryError, match=part):
+            directories.read_directory(_body(spark, '{"page":{"data":[%s]}}' % ",".join(rows)), MAIN)
+    with pytest.raises(directories.DirectoryError, match="0 rows"):
+        directories.read_directory(_body(spark, "{broken"), MAIN)
+
+
+def test_refresh_publishes_all_or_nothing(spark, tmp_path):
+    store = snapshots.SnapshotStore(spark, f"file://{tmp_path}/u")
+    main = '{"page":{"data":[{"A_CODE":"600001","FULL":"Oak Holding","ABBR":"Oak","KIND":"1"},{"A_CODE":"600002","FULL":"Elm Works","ABBR":"Elm","KIND":"1"}]}}'
+    assert directories.refresh_universe(store, {"main": _body(spark, main), "side": _body(spark, '[{"no":"1","title":"OAK"},{"no":"2","title":"Ash"}]')}, [MAIN, SIDE]) == 1
+    rows = {r["name"]: (r["aliases"], r["evidence"]) for r in store.read("employers", "employer_id string, name string, aliases array<string>, evidence array<string>").collect()}
+    assert rows == {"Oak Holding": (["OAK", "Oak"], ["main:600001", "side:1"]), "Elm Works": (["Elm"], ["main:600002"]), "Ash": ([], ["side:2"])}
+    bridge = directories.Directory("side", "$", "no", "title", "other", code_pattern=r"^\d+$")
+    with pytest.raises(directories.DirectoryError, match="bridge"):
+        directories.refresh_universe(store, {"main": _body(spark, main), "side": _body(spark, '[{"no":"1","title":"Oak","other":"Elm"}]')}, [MAIN, bridge])
+    assert store.revision() == 1
