@@ -116,15 +116,9 @@ def _reassemble(tokenizer: Tokenizer):
         width = np.dtype(id_width(tokenizer))
         flat = np.frombuffer(b"".join(packed), width).astype(np.int32)
         sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // width.itemsize
-        starts = np.cumsum(sizes) - sizes
         seqs = _one_chunk(docs.column("seq"))
-        slots = np.asarray(seqs.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)
-        lens = sizes[slots]
-        ends = np.cumsum(lens)
-        total = int(ends[-1]) if len(ends) else 0
-        values = flat[np.repeat(starts[slots] - (ends - lens), lens) + np.arange(total)] if total else np.zeros(0, np.int32)
-        doc_ends = np.cumsum(np.asarray(seqs.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))
-        offsets = np.concatenate([[0], np.concatenate([[0], ends])[doc_ends]]).astype(np.int32)
+        values, ends = _gather(flat, np.cumsum(sizes) - sizes, sizes, np.asarray(seqs.flatten().to_numpy(zero_copy_only=False), dtype=np.int64))
+        offsets = _offsets(seqs, ends)
         return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
 
     return reassemble
@@ -170,10 +164,40 @@ def _cut_ids(block_docs: int):
     return cut
 
 
+def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``which`` of ``flat`` one after the other, and where each ends."""
+    lens = sizes[which]
+    ends = np.cumsum(lens)
+    total = int(ends[-1]) if len(ends) else 0
+    return (flat[np.repeat(starts[which] - (ends - lens), lens) + np.arange(total)] if total else flat[:0]), ends
+
+
+def _offsets(lists: pa.Array, ends: np.ndarray) -> np.ndarray:
+    """Where the items of each list begin and end, given where each element ends."""
+    upto = np.cumsum(np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))
+    return np.concatenate([[0], np.concatenate([[0], ends])[upto]]).astype(np.int32)
+
+
+def _texts(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Texts of UTF-8 bytes; bytes that are none become replacement characters."""
+    begins = offsets[:-1][np.diff(offsets) > 0]
+    raw = data.tobytes()
+    try:
+        raw.decode("utf-8")
+        sound = not len(begins) or bool(((data[begins] & 0xC0) != 0x80).all())
+    except UnicodeDecodeError:
+        sound = False
+    if sound:
+        return pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])], pa.string())
+
+
 def _join_bytes(docs: pa.Table, words: pa.Table) -> pa.Table:
-    table = _one_chunk(words.sort_by("slot").column("bytes")).to_pylist()
-    texts = [b"".join([table[i] for i in seq]).decode("utf-8", "replace") for seq in docs.column("seq").to_pylist()]
-    return pa.table({"doc_id": docs.column("doc_id"), "text": pa.array(texts, pa.string())})
+    packed = _one_chunk(words.sort_by("slot").column("bytes")).to_pylist()
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed))
+    seqs = _one_chunk(docs.column("seq"))
+    data, ends = _gather(np.frombuffer(b"".join(packed), np.uint8), np.cumsum(sizes) - sizes, sizes, np.asarray(seqs.flatten().to_numpy(zero_copy_only=False), dtype=np.int64))
+    return pa.table({"doc_id": docs.column("doc_id"), "text": _texts(data, _offsets(seqs, ends))})
 
 
 def decode_corpus(encoded: DataFrame, tokenizer: Tokenizer = Tokenizer(), id_col: str = "doc_id", ids_col: str = "ids", block_docs: int = 4000) -> DataFrame:

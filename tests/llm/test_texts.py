@@ -113,6 +113,16 @@ def test_encoding_equals_library_and_round_trips(spark):
     assert tokenize.encode_corpus(df.limit(0)).count() == 0
 
 
+def test_decoding_of_broken_ids(spark):
+    """Ids that end inside a character give replacement characters, each document for itself; an unknown id is an error."""
+    one = tokenize.encoder(tokenize.Tokenizer()).encode_ordinary("岚")
+    df = spark.createDataFrame([(1, one), (2, one[:1]), (3, one[1:]), (4, []), (5, None)], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: r["text"] for r in tokenize.decode_corpus(df).collect()}
+    assert got[1] == "岚" and got[2].startswith("\ufffd") and got[3].startswith("\ufffd") and got[4] == got[5] == ""
+    with pytest.raises(Exception, match="no token 60000"):
+        tokenize.decode_corpus(spark.createDataFrame([(1, [60000])], df.schema)).collect()
+
+
 def test_loss_is_counted_in_each_piece():
     loss = np.array([0] * 30 + [1] * 50 + [0] * 20, bool)
     assert list(tokenize.pieces_of(100, None, 40, 40)) == [(0, 40, 40), (40, 40, 40), (80, 20, 20)]
