@@ -276,10 +276,12 @@ def near_duplicate_links(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # The keys are drawn once and written; a lost executor reads them again.
     heads = materialize(rows.groupBy("d").agg(F.first("toks").alias("toks"), F.first("least").alias("least"), F.first("words").alias("words")).withColumn("t", F.monotonically_increasing_id()))
     member = materialize(rows.select("id", "d").distinct().join(heads.select("d", "t"), "d").select("id", "t"))
-    postings = heads.select("t", "least", "words", F.explode("toks").alias("tok"))
+    postings = heads.select("t", F.explode("toks").alias("tok"))
     frequent = heads.select(F.explode("toks").alias("tok")).groupBy("tok").agg(F.count("*").cast("int").alias("df")).filter("df > 1")
     # Elements that no other text has can't be common.
-    ordered = postings.join(frequent, "tok").groupBy("t", "least", "words").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    shared = postings.join(frequent, "tok").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("o"))
+    # What a text needs comes back once a text, not with each of its elements.
+    ordered = shared.join(heads.select("t", "least", "words"), "t")
     prefix = F.size("o") - F.col("least") + 1
     routed = ordered.filter(F.size("o") >= F.col("least")).select("t", "least", "words", F.transform("o", lambda x: x["tok"]).alias("toks"), F.explode(F.slice("o", F.lit(1), prefix)).alias("p"))
     blocks = F.ceil(F.col("p.df") / BLOCK).cast("int")
