@@ -4,6 +4,9 @@ import itertools
 import random
 
 import numpy as np
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from millrace.llm import names, near_duplicates as nd, places
@@ -156,6 +159,88 @@ def test_hot_clause_is_searched_in_blocks(spark, monkeypatch):
     assert nd.near_duplicate_pairs(jobs).count() == 40 * 39 // 2
 
 
+def _sentence(rng, units, n):
+    return "".join(rng.choice(units) for _ in range(n)) + "。"
+
+
+def test_texts_of_other_wording_are_no_candidates(spark, monkeypatch):
+    """Records that share as many half sentences as asked, but not their wording, aren't paired, in one list and in blocks."""
+    rng, units = random.Random(4), [chr(0x4E00 + 5 * i) for i in range(1500)]
+    heads = [_sentence(rng, units, 4)[:-1] for _ in range(3)]
+    rows = [(f"j{i:03d}", "岗", "公司", "".join(h + _sentence(rng, units, 5) for h in heads)) for i in range(150)]
+    rows += [(f"{k}x", t, c, d.replace(d[-3], "改")) for k, t, c, d in rows[:20]]
+    jobs = spark.createDataFrame(rows, "id string, title string, company string, description string")
+    counts = {r[0]: nd.wording(*r[1:]) for r in rows}
+    want = {(a, b) for a, b in itertools.combinations(sorted(counts), 2) if nd.agreement(counts[a], counts[b]) >= nd.AGREEMENT}
+    assert {(f"j{i:03d}", f"j{i:03d}x") for i in range(20)} <= want
+    written, real = [], nd.materialize
+    monkeypatch.setattr(nd, "materialize", lambda df: written.append(real(df)) or written[-1])
+    for block in (nd.BLOCK, 16):
+        monkeypatch.setattr(nd, "BLOCK", block)
+        written.clear()
+        assert {tuple(r) for r in nd.near_duplicate_pairs(jobs).collect()} == want
+        assert next(x for x in written if x.columns == ["a", "b"]).count() <= 2 * len(want)
+
+
+def test_lists_give_the_same_pairs_either_way(monkeypatch):
+    """Short lists, long ones and the T-occurrence search against all pairs, whole and in blocks; batches cut lists."""
+    rng, rows = random.Random(9), []
+    for tok in range(40):
+        left, right = ((0, 0), (0, 1))[tok % 2]
+        for t in range(rng.choice((1, 2, 5, 30, 160))):
+            rest = sorted(rng.sample([x for x in range(30) if x != tok], rng.randint(2, 6)))
+            words = rng.randint(20, 30)
+            rows.append({"tok": tok, "left": left, "right": right, "t": t, "least": rng.randint(1, 3), "words": words, "toks": rest[:1] + [tok] + rest[1:], "block": t % 2 if right else 0, "kinds": nd._kinds(rng.choices("甲乙丙丁戊己庚辛壬癸", k=words))})
+    rows.sort(key=lambda r: (r["tok"], r["left"], r["right"], r["words"]))
+    marks = nd.sketches([r["kinds"] for r in rows])
+    table = pa.table({c: [r[c] for r in rows] for c in ("tok", "left", "right", "t", "least", "words", "toks", "block")} | dict(zip(nd._MARKS, marks.T)))
+    table = table.set_column(6, "toks", table["toks"].cast(pa.list_(pa.int32())))
+
+    def want(sketched):
+        out = set()
+        for i, j in itertools.combinations(range(len(rows)), 2):
+            x, y = rows[i], rows[j]
+            if x["tok"] != y["tok"] or (x["right"] and x["block"] == y["block"]) or set(x["toks"][:1]) & set(y["toks"][:1]):
+                continue
+            differing = int(np.bitwise_count(marks[i].view(np.uint64) ^ marks[j].view(np.uint64)).sum()) if sketched else 0
+            if len(set(x["toks"][1:]) & set(y["toks"][1:])) >= max(x["least"], y["least"]) and nd._may_agree(np.int64(x["words"]), np.int64(y["words"]), differing):
+                out.add((x["tok"], min(x["t"], y["t"]), max(x["t"], y["t"])))
+        return out
+
+    def got():
+        out = set()
+        for tok in range(40):
+            part = table.filter(pa.compute.equal(table["tok"], tok))
+            for b in nd._search(iter(part.to_batches(max_chunksize=50))):
+                out |= {(tok, a, b) for a, b in zip(b["a"].to_pylist(), b["b"].to_pylist())}
+        return out
+
+    some, every = want(True), want(False)
+    assert some and some < every
+    assert got() == some
+    monkeypatch.setattr(nd, "LONG", 4)
+    assert got() == some
+    monkeypatch.setattr(nd, "FEW", -1)
+    assert got() == some
+
+
+def test_sketches_lose_no_pair(monkeypatch):
+    rng, units = random.Random(6), ["ab", "cd", "ef", "gh", *"甲乙丙丁戊己庚辛"]
+    texts = [" ".join(rng.choice(units) for _ in range(rng.randint(0, 60))) for _ in range(120)]
+    texts += [t + " 甲乙 ab" for t in texts] + ["", "<b>甲乙丙</b>丁 12 ab ab ab"]
+    kinds = [nd.elements(t or "-")[2] for t in texts]
+    wordings = [nd.wording(None, None, t) for t in texts]
+    assert [len(x) // 2 for x in kinds] == [len(x) for x in wordings]
+    marks = nd.sketches(kinds).view(np.uint64)
+    assert nd.sketches([]).shape == (0, 4) and not nd.sketches([b"", b""]).any()
+    monkeypatch.setattr(nd, "ITEMS", 100)
+    assert (nd.sketches(kinds).view(np.uint64) == marks).all()
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        differing = int(np.bitwise_count(marks[i] ^ marks[j]).sum())
+        assert differing <= len(wordings[i] ^ wordings[j])
+        assert nd._may_agree(np.int64(len(wordings[i])), np.int64(len(wordings[j])), differing) or nd.agreement(wordings[i], wordings[j]) < nd.AGREEMENT
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101), (101, 100), (7, 7), (None, 3)], "a long, b long")
     got = {r["node"]: r["component"] for r in components(links).collect()}
