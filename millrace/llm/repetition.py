@@ -7,17 +7,18 @@ batches.  The score is cheap and only resembles the definition, which asks for
 passages within sentences (or much longer ones across); which scores reject a
 document is decided by risk-controlled thresholds.
 
-A calibration half of the distinct texts (by a hash of the text, so that copies
-count once and fall on one side) is labelled by the exact definition.  In each
-stratum, a cutoff is certified if the Clopper-Pearson upper bound on the share
-of sound texts among those it rejects is at most ``alpha``.  Cutoffs are tested
-in a fixed sequence from the nominal share downwards, which stops at the first
-failure, and upwards with a Bonferroni division if the nominal one rejects too
-many; the level ``delta`` is divided over the strata and both directions, so
-with probability ``1 - delta`` no stratum breaks its bound.  The lowest
-certified cutoff rejects.  A stratum without evidence for any cutoff keeps the
-nominal share and is reported as not certified.  ``risk_report`` measures the
-same rate on the other half.
+Every distinct text whose score a cutoff could reject is labelled by the exact
+definition (copies count once).  In each stratum, a cutoff is certified if the
+Clopper-Pearson upper bound on the share of sound texts among all those it
+rejects is at most ``alpha``; so the share itself, which is counted and not
+estimated, is at most ``alpha``, too, and the bound speaks for further texts of
+the same kind.  Cutoffs are tested in a fixed sequence from the nominal share
+downwards, which stops at the first failure, and upwards with a Bonferroni
+division if the nominal one rejects too many; the level ``delta`` is divided over
+the strata and both directions, so with probability ``1 - delta`` no stratum
+breaks its bound.  The lowest certified cutoff rejects.  A stratum without
+evidence for any cutoff keeps the nominal share and is reported as not
+certified.  ``risk_report`` gives the counts.
 
 Tokens are single Chinese/Japanese characters or lower-cased words; digits,
 blanks and punctuation are no tokens.  Null, empty and letterless texts have
@@ -48,16 +49,11 @@ _CJK = "ぁ-ヿ㐀-䶿一-鿿豈-﫿"
 
 @dataclass(frozen=True)
 class RiskControl:
-    """``share`` defines a repetitive text and is the nominal cutoff.
-
-    At most ``labelled`` distinct texts of a stratum (in expectation, by hash)
-    calibrate its cutoff; everything else is computed over all rows.
-    """
+    """``share`` defines a repetitive text and is the nominal cutoff; everything is computed over all rows."""
 
     share: float = 1 / 3
     alpha: float = 0.02
     delta: float = 0.05
-    labelled: int = 16_000
     lower: tuple[float, ...] = tuple(round(0.32 - 0.02 * i, 2) for i in range(14))
     upper: tuple[float, ...] = (0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
@@ -241,7 +237,7 @@ SCORE_SCHEMA = "doc_id long, h long, score double, stratum string, repetitive bo
 BATCH_CHARS = 2_000_000
 
 
-def _score(risk: RiskControl, both_halves: bool, exact: bool):
+def _score(risk: RiskControl, exact: bool):
     def parts(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         begin = size = 0
         for i, t in enumerate(texts):
@@ -258,39 +254,25 @@ def _score(risk: RiskControl, both_halves: bool, exact: bool):
                 texts, part = every[begin:end], batch.slice(begin, end - begin)
                 scores, cjk, shares = batch_scores(texts, exact)
                 # Labels are needed only where a cutoff could reject.
-                labels = [exact_share(t) >= risk.share if s >= risk.floor and (both_halves or calibrates(h)) else None for t, s, h in zip(texts, scores, part.column(1).to_pylist())]
+                labels = [exact_share(t) >= risk.share if s >= risk.floor else None for t, s in zip(texts, scores)]
                 strata = [stratum_of(c, len(t or "")) for c, t in zip(cjk, texts)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(scores, pa.float64()), pa.array(strata, pa.string()), pa.array(labels, pa.bool_()), pa.nulls(len(texts), pa.float64()) if shares is None else pa.array(shares, pa.float64())], ["doc_id", "h", "score", "stratum", "repetitive", "share"])
 
     return score
 
 
-_HALF = 1 << 30
-
-
-def calibrates(h: int) -> bool:
-    return h & ((1 << 31) - 1) < _HALF
+def scored_documents(documents: DataFrame, risk: RiskControl = RiskControl(), id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
+    """Every row's score and stratum, and the label of those that a cutoff could reject; the one pass over the texts."""
+    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"), F.col(text_col).alias("text"))
+    return materialize(docs.mapInArrow(_score(risk, exact), SCORE_SCHEMA))
 
 
-def scored_documents(documents: DataFrame, risk: RiskControl = RiskControl(), id_col: str = "doc_id", text_col: str = "text", both_halves: bool = False, exact: bool = False) -> DataFrame:
-    """Every row's score and stratum, and the label of the texts set aside for calibration; the one pass over the texts."""
-    docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"), F.col(text_col).alias("text"))
-    return materialize(docs.mapInArrow(_score(risk, both_halves, exact), SCORE_SCHEMA))
-
-
-def _counts(scored: DataFrame, risk: RiskControl, calibration: bool) -> dict[str, dict[float, tuple[int, int]]]:
-    """Rejected and falsely rejected distinct texts of one half, per stratum and cutoff; as many rows as there are strata and cutoffs reach the driver."""
-    place = F.col("h").bitwiseAND(F.lit((1 << 31) - 1))
-    half = scored.withColumn("_u", place).filter(F.col("_u") < _HALF if calibration else F.col("_u") >= _HALF)
-    texts = half.groupBy("stratum", "h").agg(F.first("score").alias("score"), F.first("repetitive").alias("repetitive"), F.first("_u").alias("_u"))
-    sizes = {r["stratum"]: r["n"] for r in texts.groupBy("stratum").agg(F.count("*").alias("n")).collect()}
-    used = F.lit(False)
-    for name, n in sizes.items():
-        span = _HALF if not calibration else min(_HALF, int(_HALF * risk.labelled / n))
-        used = F.when(F.col("stratum") == name, F.col("_u") < (span if calibration else 2 * _HALF)).otherwise(used)
+def _counts(scored: DataFrame, risk: RiskControl) -> dict[str, dict[float, tuple[int, int]]]:
+    """Rejected and falsely rejected distinct texts, per stratum and cutoff; as many rows as there are strata and cutoffs reach the driver."""
+    texts = scored.groupBy("stratum", "h").agg(F.first("score").alias("score"), F.first("repetitive").alias("repetitive"))
     cutoffs = (risk.share, *risk.lower, *risk.upper)
     hits = [F.count_if(F.col("score") >= c).alias(f"n{i}") for i, c in enumerate(cutoffs)] + [F.count_if((F.col("score") >= c) & ~F.col("repetitive")).alias(f"f{i}") for i, c in enumerate(cutoffs)]
-    rows = texts.filter(used).groupBy("stratum").agg(*hits).collect()
+    rows = texts.groupBy("stratum").agg(*hits).collect()
     return {r["stratum"]: {c: (r[f"n{i}"], r[f"f{i}"]) for i, c in enumerate(cutoffs)} for r in rows}
 
 
@@ -298,18 +280,17 @@ def repetition(documents: DataFrame, risk: RiskControl = RiskControl(), id_col:
     """``doc_id, share, score, stratum, cutoff, certified, repetitive`` of every row; ``share`` by the definition, null unless ``exact``."""
     scored = scored_documents(documents, risk, id_col, text_col, exact=exact)
     cut, sure = F.lit(risk.share), F.lit(False)
-    for name, (value, certified) in choose_cutoffs(_counts(scored, risk, True), risk).items():
+    for name, (value, certified) in choose_cutoffs(_counts(scored, risk), risk).items():
         cut = F.when(F.col("stratum") == name, F.lit(value)).otherwise(cut)
         sure = F.when(F.col("stratum") == name, F.lit(certified)).otherwise(sure)
     return scored.select("doc_id", F.round("share", 6).alias("share"), F.round("score", 6).alias("score"), "stratum", cut.alias("cutoff"), sure.alias("certified"), (F.col("score") >= cut).alias("repetitive"))
 
 
 def risk_report(documents: DataFrame, risk: RiskControl = RiskControl(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``stratum, cutoff, certified, rejected, falsely_rejected, upper_bound`` on the half of the texts that took no part in the calibration."""
-    scored = scored_documents(documents, risk, id_col, text_col, both_halves=True)
-    chosen, fresh = choose_cutoffs(_counts(scored, risk, True), risk), _counts(scored, risk, False)
+    """``stratum, cutoff, certified, rejected, falsely_rejected, upper_bound`` on all distinct texts."""
+    counts = _counts(scored_documents(documents, risk, id_col, text_col), risk)
     rows = []
-    for name, (value, certified) in sorted(chosen.items()):
-        n, false = fresh.get(name, {}).get(value, (0, 0))
+    for name, (value, certified) in sorted(choose_cutoffs(counts, risk).items()):
+        n, false = counts[name][value]
         rows.append((name, value, certified, n, false, binomial_upper(false, n, 1 - risk.delta)))
     return documents.sparkSession.createDataFrame(rows, "stratum string, cutoff double, certified boolean, rejected long, falsely_rejected long, upper_bound double")

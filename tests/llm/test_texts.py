@@ -228,3 +228,16 @@ def test_stored_truncation_model_decides_alike(spark, tmp_path):
         judged = truncation.find_truncated(spark.createDataFrame(fixed + more, schema), model).filter("row_key < 100")
         got.append({r["row_key"]: r["cut"] for r in judged.collect()})
     assert got[0] == got[1] == got[2] == {0: True, 1: False, 2: True}
+
+
+def test_all_texts_choose_the_cutoff(spark):
+    """250 distinct repetitive texts certify a cutoff, half of them don't; all are counted, copies once."""
+    rng = random.Random(7)
+    phrase = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(8))
+    texts = [f"{p}. {p}. {p}." for p in (phrase() for _ in range(250))]
+    rows = list(enumerate(texts + texts[:40] + [phrase() for _ in range(50)] + ["", None]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    report = repetition.risk_report(df).collect()
+    assert [(r["stratum"], r["certified"], r["rejected"], r["falsely_rejected"]) for r in report] == [("latin-short", True, 250, 0)]
+    got = repetition.repetition(df).filter("repetitive and certified").select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(290))
