@@ -74,18 +74,28 @@ def missing_advance(obs: DataFrame, seen: Column, whole: Column) -> DataFrame:
     )
 
 
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull() & (F.col(k) != ""))
+    return df
+
+
+def conflicting_keys(df: DataFrame, keys: list[str], url: str, identity: str) -> DataFrame:
+    """``keys, urls, identities`` of ``key_conflicts``, without the sample."""
+    return _keyed(df, keys).groupBy(*keys).agg(F.countDistinct(url).alias("urls"), F.countDistinct(identity).alias("identities")).filter("urls > 1 AND identities > 1")
+
+
 def key_conflicts(df: DataFrame, keys: list[str], url: str, identity: str, row: str, sample: int = 20) -> DataFrame:
     """``keys, urls, identities, sample``: keys that stand for several URLs and several identities at once.
 
     Null and empty keys take no part; a changed URL or a changed identity alone
     is an update.
     """
-    asked = df
-    for k in keys:
-        asked = asked.filter(F.col(k).isNotNull() & (F.col(k) != ""))
-    found = asked.groupBy(*keys).agg(F.countDistinct(url).alias("urls"), F.countDistinct(identity).alias("identities")).filter("urls > 1 AND identities > 1")
-    # Only the rows of conflicting keys are ranked for the sample.
-    first = asked.join(found.select(*keys), keys, "left_semi").select(*keys, row).distinct().withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(row))).filter(F.col("_n") <= sample)
+    asked = _keyed(df, keys)
+    found = conflicting_keys(df, keys, url, identity)
+    # Only the rows of conflicting keys are ranked for the sample.  No semi join: Spark pushes one below a union and
+    # takes the parts for partitioned alike, which they may not be once they run.
+    first = asked.join(found.select(*keys), keys).select(*keys, row).distinct().withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(row))).filter(F.col("_n") <= sample)
     shown = first.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", F.col(row).cast("string").alias("r")))), lambda x: x["r"]), ",").alias("sample"))
     return found.join(shown, keys)
 

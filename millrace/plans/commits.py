@@ -54,16 +54,18 @@ def commit_pass(stored: DataFrame, listed: DataFrame, approved: DataFrame, seen:
     # Both sides are read several times.
     stored, listed = materialize(stored), materialize(listed)
     groups = stored.select("source_id", "ext", "u", "ident", "id").unionByName(listed.select("source_id", "ext", "u", "ident", "id"))
-    conflicts = R.key_conflicts(groups, ["source_id", "ext"], "u", "ident", "id", 1).select("source_id").distinct().withColumn("bad", F.lit(True))
+    conflicts = materialize(R.conflicting_keys(groups, ["source_id", "ext"], "u", "ident").select("source_id").distinct().withColumn("bad", F.lit(True)))
     new = listed.join(F.broadcast(approved.withColumn("ok", F.lit(True))), "source_id", "left").join(F.broadcast(conflicts), "source_id", "left")
     key = lambda df, p: df.select(*[F.col(c).alias(f"{p}{c}") for c in ("id", "source_id", "ext", "u", "ident")])
     i, e = key(new.filter("ok AND bad IS NULL"), "i_"), key(stored, "e_")
+    # The smallest stored id of a key is the only one that can be chosen.
+    first = lambda *by: e.groupBy(*by).agg(F.min("e_id").alias("e_id"))
     pairs = [
         i.join(e, F.col("i_id") == F.col("e_id")).select("i_id", F.lit(0).alias("rank"), "e_id"),
-        i.filter("i_ext <> ''").join(e, (F.col("i_source_id") == F.col("e_source_id")) & (F.col("i_ext") == F.col("e_ext"))).select("i_id", F.lit(1).alias("rank"), "e_id"),
-        i.join(e, (F.col("i_u") == F.col("e_u")) & (F.col("i_ident") == F.col("e_ident"))).select("i_id", F.lit(2).alias("rank"), "e_id"),
+        i.filter("i_ext <> ''").join(first("e_source_id", "e_ext"), (F.col("i_source_id") == F.col("e_source_id")) & (F.col("i_ext") == F.col("e_ext"))).select("i_id", F.lit(1).alias("rank"), "e_id"),
+        i.join(first("e_u", "e_ident"), (F.col("i_u") == F.col("e_u")) & (F.col("i_ident") == F.col("e_ident"))).select("i_id", F.lit(2).alias("rank"), "e_id"),
     ]
-    match = pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).groupBy("i_id").agg(F.min_by("e_id", F.struct("rank", "e_id")).alias("stored_id"))
+    match = materialize(pairs[0].unionByName(pairs[1]).unionByName(pairs[2]).groupBy("i_id").agg(F.min_by("e_id", F.struct("rank", "e_id")).alias("stored_id")))
     old = stored.select(F.col("id").alias("stored_id"), F.col("h").alias("old_h"), F.col("version").alias("old_version"))
     rows = new.join(match.withColumnRenamed("i_id", "id"), "id", "left").join(old, "stored_id", "left")
     refused = F.col("ok").isNull() | F.col("bad").isNotNull()

@@ -89,6 +89,36 @@ def test_key_conflicts_need_both(spark):
     assert [tuple(map(str, r)) for r in got] == [("s", "1", "2", "2", "1,2")]
 
 
+def test_commit_and_conflicts_without_broadcasts(spark):
+    # Sizes are beyond the broadcast threshold in large tables; the joins are then sort-merge joins.
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        schema = "id string, source_id string, ext string, u string, ident string, h string, status string, version long"
+        row = lambda i, s, x, h: (i, s, x, f"u{i}", f"c|{i}", h, "confirmed_active", 1)
+        stored = spark.createDataFrame([row(f"j{n}", f"s{n % 7}", str(n), "h") for n in range(200)], schema)
+        listed = spark.createDataFrame([row(f"j{n}", f"s{n % 7}", str(n), "h" if n % 2 else "new") for n in range(100, 300)] + [row("k", "s0", "0", "h")], schema)
+        approved = spark.createDataFrame([(f"s{n}",) for n in range(6)], "source_id string")
+        seen = spark.createDataFrame([("j1", 1, 2)], "id string, missing long, threshold int")
+        got = {r["id"]: (r["action"], r["stored_id"]) for r in commits.commit_pass(stored, listed, approved, seen).collect()}
+        want = {f"j{n}": ("not_approved" if n % 7 == 6 else "identity_conflict" if n % 7 == 0 else "insert" if n >= 200 else "unchanged" if n % 2 else "update", f"j{n}" if n < 200 and n % 7 not in (0, 6) else None) for n in range(100, 300)}
+        want |= {"k": ("identity_conflict", None)} | {f"j{n}": ("close" if n == 1 else "missing", f"j{n}") for n in range(100) if n % 7 not in (0, 6)}
+        assert got == want
+        both = stored.unionByName(listed)
+        assert [tuple(r) for r in R.key_conflicts(both, ["source_id", "ext"], "u", "ident", "id").collect()] == [("s0", "0", 2, 2, "j0,k")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_commit_takes_the_smallest_of_several_matches(spark):
+    schema = "id string, source_id string, ext string, u string, ident string, h string, status string, version long"
+    stored = spark.createDataFrame([("c", "s", "1", "u", "c|t", "h", "confirmed_active", 1), ("b", "s", "1", "u", "c|t", "h", "confirmed_active", 1), ("a", "other", "1", "u", "c|t", "h", "confirmed_active", 1), ("d", "s", "", None, "c|t", "h", "closed", 1), ("0", "s", "", None, "c|t", "h", "closed", 1)], schema)
+    listed = spark.createDataFrame([("c", "s", "1", "u", "c|t", "h", "confirmed_active", 1), ("x", "s", "1", "u", "c|t", "h", "confirmed_active", 1), ("y", "s", "", "u", "c|t", "h", "confirmed_active", 1), ("z", "s", "", None, "c|t", "h", "confirmed_active", 1)], schema)
+    approved, seen = spark.createDataFrame([("s",)], "source_id string"), spark.createDataFrame([], "id string, missing long, threshold int")
+    got = {r["id"]: (r["action"], r["stored_id"]) for r in commits.commit_pass(stored, listed, approved, seen).collect()}
+    assert got == {"c": ("unchanged", "c"), "x": ("unchanged", "b"), "y": ("unchanged", "a"), "z": ("insert", None)}
+
+
 def test_places_in_a_text(spark):
     schema = "region_code string, level_name string, province_code string, name_zh string, name_en string, aliases array<string>"
     rows = [("000000", "nation", None, "全国", "China", ["中国"]), ("000001", "remote", None, "远程", "Remote", None), ("100000", "province", "100000", "河溪省", "Hexi", ["河溪"]), ("200000", "province", "200000", "山南省", "Shannan", []), ("101000", "city", "100000", "白塔市", "Baita", ["白塔"]), ("102000", "city", "100000", "青石市", "Qingshi", ["青石"]), ("201000", "city", "200000", "白沙市", "Baita", [])]
